@@ -49,7 +49,7 @@ def _cut_to_complete(text: str) -> str | None:
     return text[:end] + "]" if end else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def repair_array(text: pd.Series) -> pd.Series:
     """Repaired text of a truncated JSON array; null in, null out."""
     return pd.Series([None if t is None else _cut_to_complete(t) for t in text], dtype="object")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropweave.functions.text import as_col
 
@@ -26,7 +27,7 @@ def _lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _lcs(x, y) for x, y in zip(a, b)], dtype="Int32")
 
@@ -85,7 +86,7 @@ def _jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     return jaro + shared * scale * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
 

@@ -7,11 +7,12 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropweave.functions.text import as_col, strip
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(text: pd.Series) -> pd.Series:
     """Character references -> characters."""
     return text.map(html.unescape, na_action="ignore")

@@ -106,8 +106,8 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
                  (rank(p) - F.floor(rank(p))).alias("share")) for p in probabilities]).alias("targets"))
     covers = lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
     # A value row meets only the targets its run of equal values covers, so a handful of rows remain.
-    hit = placed.select("value", "before", "n", F.explode(F.filter(
-        targets.scalar(), lambda t: covers(t["low"]) | covers(t["high"]))).alias("t"))
+    hit = placed.withColumn("targets", targets.scalar()).select("value", "before", "n", F.explode(F.filter(
+        "targets", lambda t: covers(t["low"]) | covers(t["high"]))).alias("t"))
     return (hit.groupBy(F.col("t.probability").alias("probability"))
             .agg(F.max(F.when(covers(F.col("t.low")), F.col("value"))).alias("low_value"),
                  F.max(F.when(covers(F.col("t.high")), F.col("value"))).alias("high_value"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,25 +67,32 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
                        for c in df.columns])
 
 
-def _pairwise(df: DataFrame, columns: Sequence[str], value) -> DataFrame:
-    """Correlation of every column pair i <= j in one aggregate; rows with a null on either side are left out."""
+def _pairwise(df: DataFrame, columns: Sequence[str], value: Callable[[str], Column]) -> DataFrame:
+    """Correlation of every column pair i <= j in one aggregate; rows with a null on either side are left out.
+
+    Null where a column is constant over the rows used (``corr`` itself would divide by zero).
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(value(a), value(b)).alias(f"{a}|{b}") for a, b in pairs])
+
+    def correlation(a: str, b: str) -> Column:
+        x, y = value(a), value(b)
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    row = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     return _long(row, [(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"`{a}|{b}`").alias("correlation"))
                        for a, b in pairs])
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle of the correlation matrix, diagonal included (null where a column is constant)."""
-    long = _pairwise(df, columns, lambda c: F.col(c).cast("double"))
-    return long.withColumn("correlation", F.nullif("correlation", F.lit(float("nan"))))
-
-
-def strong_pairs(matrix: DataFrame, above: float = 0.5) -> DataFrame:
-    return matrix.where((F.col("column_a") != F.col("column_b")) & (F.abs("correlation") > above))
+    """Upper triangle of the correlation matrix, diagonal included."""
+    return _pairwise(df, columns, lambda c: F.col(c).cast("double"))
 
 
 def missing_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of the missing-value indicators."""
-    long = _pairwise(df, columns, lambda c: F.col(c).isNull().cast("double"))
-    return long.withColumn("correlation", F.nullif("correlation", F.lit(float("nan"))))
+    return _pairwise(df, columns, lambda c: F.col(c).isNull().cast("double"))
+
+
+def strong_pairs(matrix: DataFrame, above: float = 0.5) -> DataFrame:
+    return matrix.where((F.col("column_a") != F.col("column_b")) & (F.abs("correlation") > above))

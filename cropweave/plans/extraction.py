@@ -20,7 +20,7 @@ def extract_records(replies: DataFrame, run_ts: str, document: str = "doc_path",
     stem = F.element_at(F.split(document, "/"), -1)
     today = F.lit(run_ts[:10].replace("-", ""))
     keyed = parsed.withColumn("document_key", document_key(head["meeting_number"], stem, F.coalesce(head["document_date"], today)))
-    records = reply_records(keyed.withColumn("_doc", F.struct(F.col(document).alias("name"), "document_key")), "_doc", run_ts)
+    records = reply_records(keyed.withColumn("_doc", F.struct(stem.alias("name"), "document_key")), "_doc", run_ts)
     return (records.withColumn("document_key", F.col("source_document_filename.document_key"))
             .withColumn("source_document_filename", F.col("source_document_filename.name")))
 
