@@ -17,9 +17,14 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every white-space character.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+               "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(c: Column | str) -> Column:
-    """Trim every kind of white space (SQL ``trim`` only removes blanks)."""
-    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
+    """Trim every kind of white space (plain ``trim`` only removes blanks)."""
+    return F.btrim(as_col(c), F.lit(WHITE_SPACE))
 
 
 def clean_key(c: Column | str) -> Column:

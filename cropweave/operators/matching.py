@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from cropweave.functions.labels import match_confidence, needs_review, review_priority
 from cropweave.functions.similarity import indel_score
 from cropweave.functions.text import compare_key
+from cropweave.session import stage_table
 
 GRAM_BUCKETS = 8_192
 # Below this length an unequal pair scores at most 99, so an equal key cannot be tied.
@@ -103,44 +104,46 @@ def best_matches(left: DataFrame, right: DataFrame, *, left_name: str, left_bloc
     """All left rows with ``score`` and ``match`` (struct of the winning right row, null when there is none).
 
     Ties go to the first right row by ``right_order``, which must be a total order. Both sides' key columns are
-    already cleaned; they are compared in their word-characters-only form.
+    already cleaned; they are compared in their word-characters-only form. The key tables are staged in the shared
+    folder, as several steps read them; the returned frame is lazy from there on.
     """
-    where = ("scope", "block", "key")
-    # Right registry: the first row of every distinct key, per block and over all blocks.
+    same_key = ("scope", "block", "key")
+    # Right registry: the first row of every distinct key, per block and, where asked for, over all blocks.
     rows = right.select(F.col(right_block).alias("block"), compare_key(right_name).alias("key"),
                         F.struct(F.struct(*right_order).alias("order"), F.struct(*right.columns).alias("row"))
                         .alias("best")).where(F.col("key") != "")
-    by_block = (rows.groupBy("block", "key").agg(F.min_by("best", "best.order").alias("best"))
-                .select(F.lit("block").alias("scope"), "block", "key", "best"))
+    first_row = F.min_by("best", "best.order").alias("best")
+    by_block = stage_table(rows.groupBy("block", "key").agg(first_row)
+                           .select(F.lit("block").alias("scope"), "block", "key", "best"))
 
     # Left registry: distinct keys; a block without right rows sends its keys to the scope "all".
-    keyed = left.withColumn("_key", compare_key(left_name)).withColumn("_block", F.col(left_block))
+    keyed = stage_table(left.withColumn("_key", compare_key(left_name)).withColumn("_block", F.col(left_block)))
+    known = by_block.select("block").distinct().withColumn("known", F.lit(True))
+    own_blocks = keyed.where(F.col("_key") != "").select(F.col("_block").alias("block")).distinct()
+    rights = by_block
+    if not own_blocks.alias("a").join(known.alias("b"), _same("block"), "left_anti").isEmpty():
+        nothing = F.lit(None).cast(right.schema[right_block].dataType)
+        rights = by_block.unionByName(by_block.groupBy("key").agg(first_row)
+                                      .select(F.lit("all").alias("scope"), nothing.alias("block"), "key", "best"))
     keys = keyed.where(F.col("_key") != "").select(F.col("_block").alias("block"), F.col("_key").alias("key")).distinct()
-    known = right.select(F.col(right_block).alias("block")).distinct()
-    scoped = (keys.alias("a").join(known.withColumn("known", F.lit(True)).alias("b"), _same("block"), "left")
+    scoped = (keys.alias("a").join(known.alias("b"), _same("block"), "left")
               .select(F.when(F.col("known"), F.lit("block")).otherwise(F.lit("all")).alias("scope"),
                       F.when(F.col("known"), F.col("a.block")).alias("block"), "key",
                       F.col("a.block").alias("own_block")))
-    wanted = scoped.select(*where).distinct()
-
-    needs_all = wanted.where(F.col("scope") == "all").select("scope").limit(1)
-    by_all = (by_block.groupBy("key").agg(F.min_by("best", "best.order").alias("best"))
-              .select(F.lit("all").alias("scope"), F.lit(None).cast(right.schema[right_block].dataType).alias("block"),
-                      "key", "best")
-              .join(needs_all, "scope", "left_semi"))
-    rights = by_block.unionByName(by_all)
-
-    exact = (wanted.alias("a").join(rights.alias("b"), _same(*where))
-             .select(*[f"a.{c}" for c in where], F.lit(100).alias("score"), "best"))
-    settled = rights.where(F.length("key") <= EXACT_IS_BEST).select(*where)
-    unsettled = wanted.alias("a").join(settled.alias("b"), _same(*where), "left_anti")
-    pairs = similar_pairs(unsettled, rights.select(*where), threshold)
-    scored = (pairs.withColumnRenamed("right_key", "key").alias("a").join(rights.alias("b"), _same(*where))
+
+    # Equal keys first; what they settle needs no similar partner.
+    equal = stage_table(scoped.alias("a").join(rights.alias("b"), _same(*same_key), "left")
+                        .select(*[f"a.{c}" for c in same_key], "own_block", "best"))
+    exact = equal.where(F.col("best").isNotNull()).select(*same_key, F.lit(100).alias("score"), "best")
+    unsettled = (equal.where(F.col("best").isNull() | (F.length("key") > EXACT_IS_BEST))
+                 .select(*same_key).distinct())
+    pairs = similar_pairs(unsettled, rights.select(*same_key), threshold)
+    scored = (pairs.withColumnRenamed("right_key", "key").alias("a").join(rights.alias("b"), _same(*same_key))
               .select("a.scope", "a.block", F.col("left_key").alias("key"), "score", "best"))
-    winners = (exact.unionByName(scored).groupBy(*where)
+    winners = (exact.unionByName(scored).groupBy(*same_key)
                .agg(F.min_by(F.struct("score", "best"), F.struct(-F.col("score"), "best.order")).alias("won")))
 
-    by_key = (scoped.alias("a").join(winners.alias("b"), _same(*where))
+    by_key = (equal.alias("a").join(winners.alias("b"), _same(*same_key))
               .select(F.col("own_block").alias("_block"), F.col("a.key").alias("_key"), "won"))
     joined = keyed.alias("a").join(by_key.alias("b"), _same("_block", "_key"), "left")
     return joined.select(*[F.col(f"a.{c}") for c in left.columns],

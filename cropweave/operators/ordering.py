@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8_192
@@ -33,8 +34,6 @@ def _bounds(df: DataFrame, order: Sequence[str], rows_per_bucket: int) -> list[t
 
 def _bucket(df: DataFrame, order: Sequence[str], bounds: Sequence[tuple]) -> Column:
     """Index of the key's range: how many bounds lie below it, found by binary search."""
-    if not bounds:
-        return F.lit(0)
     types = [df.schema[c].dataType for c in order]
     literals = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, order)]) for b in bounds])
     key = F.struct(*[F.col(c) for c in order])
@@ -54,19 +53,24 @@ def with_position(df: DataFrame, order: Sequence[str], column: str = "position",
     With ``weight`` the place is the summed weight of all rows before this one.
     """
     amount = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    bucketed = df.withColumn("_bucket", _bucket(df, order, _bounds(df, order, rows_per_bucket)))
+
+    def place(within: WindowSpec) -> Column:
+        if weight:
+            earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+            return F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long")
+        return (F.row_number().over(within) - 1).cast("long")
+
+    bounds = _bounds(df, order, rows_per_bucket)
+    if not bounds:  # at most rows_per_bucket rows: one sort is the whole job
+        return df.withColumn(column, place(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    bucketed = df.withColumn("_bucket", _bucket(df, order, bounds))
     sizes = bucketed.groupBy("_bucket").agg(F.sum(amount).alias("_size"))
     # One row per bucket: the running total over them is small by construction.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(*order)
-    if weight:
-        place = F.coalesce(F.sum(amount).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    else:
-        place = F.row_number().over(inside) - 1
-    return (bucketed.withColumn("_place", place)
+    return (bucketed.withColumn("_place", place(Window.partitionBy("_bucket").orderBy(*order)))
             .join(F.broadcast(starts), "_bucket")
-            .withColumn(column, (F.col("_start") + F.col("_place")).cast("long"))
+            .withColumn(column, F.col("_start") + F.col("_place"))
             .drop("_bucket", "_place", "_start"))
 
 

@@ -1,8 +1,9 @@
-"""Session settings and lineage cuts shared by the whole package."""
+"""Session settings and staged tables shared by the whole package."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,18 +29,23 @@ def build_session(app_name: str = "cropweave", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session without it gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="cropweave-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
-    The files live on shared storage, so a lost executor costs a re-read and not a re-run. Only a local
-    session without the setting gets a temporary folder; a cluster without it is a configuration error.
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For frames several later steps need: they read only the columns they use, and a lost executor costs a re-read
+    and not a re-run. The files stay until the folder is cleaned, like those of ``checkpoint``.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="cropweave-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -145,9 +145,10 @@ def context_join(spark: SparkSession, d: str) -> DataFrame:
     return joined.select("c_custkey", "context.o_orderkey", "context.o_totalprice")
 
 
-@query("context_missing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("context_missing", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def context_missing(spark: SparkSession, d: str) -> DataFrame:
-    missing = ctx.without_context(_named_customers(spark, d), _order_contexts(spark, d), "variety_name", "name")
+    large = _order_contexts(spark, d).where(F.col("o_totalprice") > 400_000)
+    missing = ctx.without_context(_named_customers(spark, d), large, "variety_name", "name")
     return missing.select("c_custkey")
 
 

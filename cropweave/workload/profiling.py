@@ -233,10 +233,10 @@ def multi_trait(spark: SparkSession, d: str) -> DataFrame:
     return rich.select("doc_id", F.size("words").alias("size"), F.array_join(F.array_sort("words"), ", ").alias("traits"))
 
 
-@query("usual_range", "SELECT p_partkey, p_size FROM part WHERE p_size < 30 AND p_retailprice > 1000")
+@query("usual_range", "SELECT p_partkey, p_size FROM part WHERE p_size < 30 AND p_retailprice > 950")
 def usual_range(spark: SparkSession, d: str) -> DataFrame:
     """Outlier filter; nulls drop out."""
-    return read_table(spark, d, "part").where((F.col("p_size") < 30) & (F.col("p_retailprice") > 1000)).select("p_partkey", "p_size")
+    return read_table(spark, d, "part").where((F.col("p_size") < 30) & (F.col("p_retailprice") > 950)).select("p_partkey", "p_size")
 
 
 _KPI_COLUMNS = {"crop": "lang", "institution": "source", "score": "score", "traits": "traits", "year": "year", "states": "states",
