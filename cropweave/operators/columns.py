@@ -71,7 +71,9 @@ def project_paths(df: DataFrame, mapping: Mapping[str, str | Sequence[str]], kee
         options = [paths] if isinstance(paths, str) else list(paths)
         present = [path_column(p.split(".")) for p in options if resolves(df, p)]
         columns.append((F.coalesce(*present) if present else F.lit(UNKNOWN)).alias(published))
-    return df.select(*columns)
+    flat = df.select(*columns)
+    untyped = [f.name for f in flat.schema.fields if isinstance(f.dataType, T.NullType)]
+    return flat.withColumns({c: F.col(c).cast("string") for c in untyped}) if untyped else flat
 
 
 def missing_paths(df: DataFrame, essential: Sequence[str]) -> list[str]:

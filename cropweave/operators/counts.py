@@ -62,13 +62,18 @@ def top_cross_counts(counts: DataFrame, row: str, column: str, rows: int = 10, c
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the last bin is closed and empty bins are listed."""
+    """Equal-width bins between minimum and maximum; the last bin is closed and empty bins are listed.
+
+    A constant column gets a range of one around its value.
+    """
     x = F.col(column).cast("double")
     known = df.where(x.isNotNull()).select(x.alias("x"))
-    ends = known.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("ends"))
+    flat = F.min("x") == F.max("x")
+    ends = known.agg(F.struct(F.when(flat, F.min("x") - 0.5).otherwise(F.min("x")).alias("lo"),
+                              F.when(flat, F.max("x") + 0.5).otherwise(F.max("x")).alias("hi")).alias("ends"))
     end = ends.scalar()
-    share = F.try_divide(F.col("x") - end["lo"], end["hi"] - end["lo"])
-    place = F.coalesce(F.least(F.lit(bins - 1), F.floor(share * bins)), F.lit(0)).cast("int")
+    share = (F.col("x") - end["lo"]) / (end["hi"] - end["lo"])
+    place = F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int")
     counts = known.groupBy(place.alias("bin")).agg(F.count("*").alias("count"))
     width = (F.col("ends.hi") - F.col("ends.lo")) / bins
     every = (ends.where(F.col("ends.lo").isNotNull())

@@ -21,12 +21,15 @@ def duplicate_groups(df: DataFrame, key: str, prefix: str, numeric: str, positio
 
     Every (prefix, number) repeated -> exact; one prefix, several numbers -> related; else typo.
     """
-    variants = (df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("group_key"), prefix, numeric)
-                .agg(F.count("*").alias("n"), F.min(position).alias("first")))
+    variants = (df.where(F.col(key).isNotNull())
+                .select(F.col(key).alias("group_key"), F.col(prefix).alias("prefix"), F.col(numeric).alias("number"),
+                        F.col(position).alias("position"))
+                .groupBy("group_key", "prefix", "number")
+                .agg(F.count("*").alias("rows"), F.min("position").alias("first")))
     groups = (variants.groupBy("group_key")
-              .agg(F.sum("n").alias("group_size"), F.min("n").alias("fewest"), F.min("first").alias("first_position"),
-                   (F.min(prefix) == F.max(prefix)).alias("one_prefix"),
-                   (F.min(numeric) < F.max(numeric)).alias("many_numbers"))
+              .agg(F.sum("rows").alias("group_size"), F.min("rows").alias("fewest"), F.min("first").alias("first_position"),
+                   (F.min("prefix") == F.max("prefix")).alias("one_prefix"),
+                   (F.min("number") < F.max("number")).alias("many_numbers"))
               .where(F.col("group_size") > 1))
     category = (F.when(F.col("fewest") >= 2, F.lit(EXACT))
                 .when(F.col("one_prefix") & F.col("many_numbers"), F.lit(RELATED)).otherwise(F.lit(TYPO)))
@@ -38,11 +41,10 @@ def analyze_duplicates(df: DataFrame, key: str, prefix: str, numeric: str, posit
                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``duplicate_category``, ``duplicate_match_id`` (-1 when unique) and ``duplicate_first``."""
     groups = duplicate_groups(df, key, prefix, numeric, position, rows_per_bucket)
-    joined = df.join(groups, df[key] == groups["group_key"], "left")
-    return joined.select(*[df[f"`{c}`"] for c in df.columns],
-                         F.coalesce("category", F.lit(UNIQUE)).alias("duplicate_category"),
-                         F.coalesce("match_id", F.lit(-1)).alias("duplicate_match_id"),
-                         F.coalesce("first_position", df[position]).alias("duplicate_first"))
+    joined = df.alias("a").join(groups.alias("g"), F.col(f"a.{key}") == F.col("g.group_key"), "left")
+    return joined.select("a.*", F.coalesce("g.category", F.lit(UNIQUE)).alias("duplicate_category"),
+                         F.coalesce("g.match_id", F.lit(-1)).alias("duplicate_match_id"),
+                         F.coalesce("g.first_position", f"a.{position}").alias("duplicate_first"))
 
 
 def duplicate_totals(analyzed: DataFrame) -> DataFrame:

@@ -33,16 +33,17 @@ def read_catalogue_csv(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(documents, quarantine) from files holding one JSON document or an array of them.
+    """(documents, quarantine) from files that hold one JSON document or an array of them.
 
-    Undecodable files land in the quarantine with their text instead of failing the run.
+    Documents carry ``source_path`` and ``source_pos``. A file that is no valid JSON lands in the quarantine with its
+    text instead of failing the run. A file is read by one task, as its array cannot be split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    bad = "_bad"
-    wide = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
-    raw = (spark.read.schema(wide).option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", bad).json(paths).withColumn("source_path", F.input_file_name()))
-    return raw.where(F.col(bad).isNull()).drop(bad), raw.where(F.col(bad).isNotNull()).select("source_path", bad)
+    files = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("source_path"), F.col("value").alias("content"))
+    valid = F.json_array_length("content").isNotNull() | F.json_object_keys("content").isNotNull()
+    parsed = files.where(valid).select("source_path", F.from_json("content", T.ArrayType(schema)).alias("documents"))
+    documents = parsed.select("source_path", F.posexplode("documents").alias("source_pos", "document"))
+    return documents.select("document.*", "source_path", "source_pos"), files.where(~valid)
 
 
 def read_final(spark: SparkSession, table: str | None, csv_path: str | None, schema: T.StructType) -> DataFrame:
