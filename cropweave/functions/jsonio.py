@@ -55,10 +55,6 @@ def repair_array(text: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else _cut_to_complete(t) for t in text], dtype="object")
 
 
-def is_json_array(variant: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(variant).startswith("ARRAY"), F.lit(False))
-
-
 def is_json_object(variant: Column) -> Column:
     return F.coalesce(F.schema_of_variant(variant).startswith("OBJECT"), F.lit(False))
 

@@ -49,9 +49,8 @@ def fill_marker(df: DataFrame, columns: Sequence[str], marker: str = UNKNOWN) ->
 
 
 def conform(values: Column, schema: Sequence[str]) -> list[Column]:
-    """Fixed string columns from a map of values; missing, null and empty ones get the marker."""
-    return [F.when(F.coalesce(values[c], F.lit("")) == "", F.lit(NOT_SPECIFIED)).otherwise(strip(values[c])).alias(c)
-            for c in schema]
+    """Fixed string columns from a struct of values; missing, null and empty ones get the marker."""
+    return [F.coalesce(strip(F.nullif(values[c], F.lit(""))), F.lit(NOT_SPECIFIED)).alias(c) for c in schema]
 
 
 def resolves(df: DataFrame, path: str) -> bool:

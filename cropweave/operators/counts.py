@@ -23,9 +23,17 @@ def top_k(counts: DataFrame, k: int, value: str = "count") -> DataFrame:
     return counts.orderBy(F.desc(value), *others).limit(k)
 
 
+def elements(df: DataFrame, array: str, alias: str, *keep: str) -> DataFrame:
+    """One row per array element, with the columns to keep.
+
+    The outer form, as a plain explode filters on the array first and so computes a derived array several times.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())
+
+
 def element_counts(df: DataFrame, array: str, alias: str) -> DataFrame:
     """Occurrences of each array element over all rows."""
-    return value_counts(df.select(F.explode(array).alias(alias)), alias)
+    return value_counts(elements(df, array, alias), alias)
 
 
 def element_totals(df: DataFrame, array: str, many: int = 3) -> DataFrame:

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropweave.functions import urls
-from cropweave.functions.jsonio import is_json_array, is_json_object, repair_array, strip_fences
+from cropweave.functions.jsonio import is_json_object, repair_array, strip_fences
 from cropweave.functions.text import split_values, strip, year_cell
 from cropweave.operators.columns import conform
 
@@ -99,29 +100,31 @@ def registry_rows(table: DataFrame, cells: str = "cells", row_pos: str = "row_po
 def parse_replies(replies: DataFrame, text: str = "reply_text") -> DataFrame:
     """Add ``items`` (array<variant>, null when the reply holds no usable array) and ``status`` ok/repaired/failed."""
     clean = replies.withColumn("_text", strip_fences(text))
-    parsed = clean.withColumn("_first", F.try_parse_json("_text"))
-    # Only unparsable replies carry their text into the repair UDF; the others pass a null.
-    repaired = parsed.withColumn("_second", F.try_parse_json(
-        repair_array(F.when(F.col("_first").isNull(), F.col("_text")))))
-    as_items = lambda v: F.when(is_json_array(F.col(v)), F.col(v).cast("array<variant>"))
-    items = F.coalesce(as_items("_first"), as_items("_second"))
-    usable = repaired.withColumn("items", F.when(F.size(items) > 0, items))
-    status = (F.when(F.col("items").isNull(), F.lit("failed")).when(F.col("_first").isNull(), F.lit("repaired"))
+    whole = F.json_array_length("_text").isNotNull()
+    cut_off = ~whole & F.startswith("_text", F.lit("["))
+    # Only cut-off arrays carry their text into the repair UDF; the others pass a null.
+    ready = (clean.withColumn("_repaired", repair_array(F.when(cut_off, F.col("_text"))))
+             .withColumn("_array", F.when(whole, F.col("_text")).otherwise(F.col("_repaired"))))
+    items = F.try_parse_json("_array").cast("array<variant>")
+    # A generator runs once per row: filters on its columns are not pushed below it, where they would parse again.
+    once = ready.select(*replies.columns, F.col("_repaired").isNotNull().alias("_fixed"),
+                        F.explode(F.array(items)).alias("items"))
+    usable = once.withColumn("items", F.when(F.size("items") > 0, F.col("items")))
+    status = (F.when(F.col("items").isNull(), F.lit("failed")).when(F.col("_fixed"), F.lit("repaired"))
               .otherwise(F.lit("ok")))
-    return usable.withColumn("status", status).drop("_text", "_first", "_second")
+    return usable.withColumn("status", status).drop("_fixed")
 
 
 def reply_records(parsed: DataFrame, document: str, run_ts: str, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
     """Fixed-schema string records, one per JSON object of a reply; other elements and unknown keys are ignored."""
+    record = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    as_values = lambda e: F.when(is_json_object(e), F.from_json(F.to_json(e), record))
     rows = parsed.where(F.col("items").isNotNull()).select(
-        F.col(document).alias("_document"), F.posexplode("items").alias("_pos", "_item"))
-    objects = rows.where(is_json_object(F.col("_item")))
-    values = objects.withColumn("_values", F.from_json(F.to_json("_item"), "map<string,string>"))
-    columns = conform(F.col("_values"), fields)
-    return (values.select("_document", "_pos", *columns)
-            .withColumn("source_document_filename", F.col("_document"))
-            .withColumn("extraction_timestamp", F.lit(run_ts)).drop("_document")
-            .withColumnRenamed("_pos", "record_pos"))
+        F.col(document).alias("_document"), F.posexplode(F.transform("items", as_values)).alias("record_pos", "_values"))
+    columns = {f: c for f, c in zip(fields, conform(F.col("_values"), fields))}
+    columns |= {"source_document_filename": F.col("_document").alias("source_document_filename"),
+                "extraction_timestamp": F.lit(run_ts).alias("extraction_timestamp")}
+    return rows.where(F.col("_values").isNotNull()).select("record_pos", *columns.values())
 
 
 def reply_summary(parsed: DataFrame) -> DataFrame:

@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from cropweave.session import stage_table
+
 ROWS_PER_BUCKET = 500_000
+VALUES_PER_BUCKET = 50_000
 MAX_BUCKETS = 8_192
 SAMPLE_PER_BUCKET = 8
 
@@ -46,32 +49,36 @@ def _bucket(df: DataFrame, order: Sequence[str], bounds: Sequence[tuple]) -> Col
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def _place(within: WindowSpec, amount: Column | None) -> Column:
+    """Summed weight (or number) of the rows before this one in its window."""
+    if amount is None:
+        return (F.row_number().over(within) - 1).cast("long")
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long")
+
+
+def _bucket_starts(bucketed: DataFrame, amount: Column | None) -> DataFrame:
+    """Per bucket: its total weight and the weight of all earlier buckets (one row per bucket)."""
+    sizes = bucketed.groupBy("_bucket").agg(F.sum(F.lit(1) if amount is None else amount).alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_bucket", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+
+
 def with_position(df: DataFrame, order: Sequence[str], column: str = "position", weight: str | None = None,
                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the 0-based place of each row in the total order of ``order`` (non-null columns).
 
     With ``weight`` the place is the summed weight of all rows before this one.
     """
-    amount = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-
-    def place(within: WindowSpec) -> Column:
-        if weight:
-            earlier = within.rowsBetween(Window.unboundedPreceding, -1)
-            return F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long")
-        return (F.row_number().over(within) - 1).cast("long")
-
+    amount = F.col(weight).cast("long") if weight else None
     bounds = _bounds(df, order, rows_per_bucket)
     if not bounds:  # at most rows_per_bucket rows: one sort is the whole job
-        return df.withColumn(column, place(Window.partitionBy(F.lit(0)).orderBy(*order)))
+        return df.withColumn(column, _place(Window.partitionBy(F.lit(0)).orderBy(*order), amount))
     bucketed = df.withColumn("_bucket", _bucket(df, order, bounds))
-    sizes = bucketed.groupBy("_bucket").agg(F.sum(amount).alias("_size"))
-    # One row per bucket: the running total over them is small by construction.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    return (bucketed.withColumn("_place", place(Window.partitionBy("_bucket").orderBy(*order)))
-            .join(F.broadcast(starts), "_bucket")
-            .withColumn(column, F.col("_start") + F.col("_place"))
-            .drop("_bucket", "_place", "_start"))
+    return (bucketed.withColumn("_in_bucket", _place(Window.partitionBy("_bucket").orderBy(*order), amount))
+            .join(F.broadcast(_bucket_starts(bucketed, amount)), "_bucket")
+            .withColumn(column, F.col("_start") + F.col("_in_bucket"))
+            .drop("_bucket", "_in_bucket", "_start", "_size"))
 
 
 def with_sequential_id(df: DataFrame, order: Sequence[str], column: str, prefix: str, **options: int) -> DataFrame:
@@ -98,23 +105,36 @@ def require_unique(df: DataFrame, column: str) -> None:
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Linearly interpolated quantiles (probability, value) from exact order statistics; nulls are ignored."""
-    counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value"))
-              .agg(F.count("*").alias("n")))
-    placed = with_position(counts, ["value"], "before", weight="n", rows_per_bucket=rows_per_bucket)
+                    rows_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+    """Linearly interpolated quantiles (probability, value) from exact order statistics; nulls are ignored.
+
+    Equal values are counted first, and only the buckets that hold a wanted rank are sorted.
+    """
+    counts = stage_table(df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value"))
+                         .agg(F.count("*").alias("n")))
     # One target per probability: its fractional rank, between the two order statistics it interpolates.
     rank = lambda p: (F.sum("n") - 1) * F.lit(float(p))
     targets = counts.agg(F.array(*[
         F.struct(F.lit(float(p)).alias("probability"), F.floor(rank(p)).alias("low"), F.ceil(rank(p)).alias("high"),
-                 (rank(p) - F.floor(rank(p))).alias("share")) for p in probabilities]).alias("targets"))
-    covers = lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
-    # A value row meets only the targets its run of equal values covers, so a handful of rows remain.
-    hit = placed.withColumn("targets", targets.scalar()).select("value", "before", "n", F.explode(F.filter(
-        "targets", lambda t: covers(t["low"]) | covers(t["high"]))).alias("t"))
-    return (hit.groupBy(F.col("t.probability").alias("probability"))
-            .agg(F.max(F.when(covers(F.col("t.low")), F.col("value"))).alias("low_value"),
-                 F.max(F.when(covers(F.col("t.high")), F.col("value"))).alias("high_value"),
-                 F.max("t.share").alias("share"))
-            .select("probability",
-                    (F.col("low_value") + (F.col("high_value") - F.col("low_value")) * F.col("share")).alias("value")))
+                 (rank(p) - F.floor(rank(p))).alias("share")) for p in probabilities]).alias("targets")).scalar()
+
+    def covered(start: Column, size: Column, rank: Column) -> Column:
+        return (start <= rank) & (rank < start + size)
+
+    def wanted(start: str, size: str) -> Column:
+        s, n = F.col(start), F.col(size)
+        return F.filter("_targets", lambda t: covered(s, n, t["low"]) | covered(s, n, t["high"]))
+
+    bounds = _bounds(counts, ["value"], rows_per_bucket)
+    bucketed = counts.withColumn("_bucket", _bucket(counts, ["value"], bounds) if bounds else F.lit(0))
+    holding = (_bucket_starts(bucketed, F.col("n")).withColumn("_targets", targets)
+               .where(F.size(wanted("_start", "_size")) > 0))
+    place = _place(Window.partitionBy("_bucket").orderBy("value"), F.col("n"))
+    placed = (bucketed.join(F.broadcast(holding), "_bucket")
+              .withColumn("_before", F.col("_start") + place)
+              .select("value", "n", "_before", F.explode(wanted("_before", "n")).alias("t")))
+    at = lambda rank: F.max(F.when(covered(F.col("_before"), F.col("n"), F.col(rank)), F.col("value")))
+    low, high = F.col("low_value"), F.col("high_value")
+    return (placed.groupBy(F.col("t.probability").alias("probability"))
+            .agg(at("t.low").alias("low_value"), at("t.high").alias("high_value"), F.max("t.share").alias("share"))
+            .select("probability", (low + (high - low) * F.col("share")).alias("value")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropweave.functions.text import percent
-from cropweave.operators.ordering import ROWS_PER_BUCKET, exact_quantiles
+from cropweave.operators.ordering import VALUES_PER_BUCKET, exact_quantiles
 
 
 def _long(row: DataFrame, entries: Sequence[tuple]) -> DataFrame:
@@ -29,7 +29,7 @@ def unique_counts(df: DataFrame, columns: Sequence[str], approximate: bool = Fal
     return _long(row, [(F.lit(c).alias("column_name"), F.col(c).alias("unique_values")) for c in columns])
 
 
-def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation) and max per column."""
     aggregates = [f(F.col(c).cast("double")).alias(f"{c}|{n}") for c in columns for n, f in
                   (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]

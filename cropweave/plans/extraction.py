@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cropweave.functions.jsonio import is_json_object
 from cropweave.functions.text import document_key
 from cropweave.operators.extract import parse_replies, reply_records, reply_summary
 from cropweave.sources.writers import write_json, write_parquet, write_records
@@ -16,7 +17,8 @@ def extract_records(replies: DataFrame, run_ts: str, document: str = "doc_path",
     The key is read from the first record of a reply, so it needs no second pass over the records.
     """
     parsed = parse_replies(replies, text)
-    head = F.from_json(F.to_json(F.get("items", F.lit(0))), "map<string,string>")
+    first = F.get("items", F.lit(0))
+    head = F.when(is_json_object(first), F.from_json(F.to_json(first), "meeting_number string, document_date string"))
     stem = F.element_at(F.split(document, "/"), -1)
     today = F.lit(run_ts[:10].replace("-", ""))
     keyed = parsed.withColumn("document_key", document_key(head["meeting_number"], stem, F.coalesce(head["document_date"], today)))

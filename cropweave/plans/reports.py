@@ -23,9 +23,8 @@ def usual_range(df: DataFrame) -> DataFrame:
 def profile_catalogue(df: DataFrame) -> dict[str, DataFrame]:
     """Report name -> lazy frame. Nothing runs until a report is read; persist ``df`` when reading many."""
     number = stats.numeric_columns(df)
-    sources = df.select(F.explode("data_sources").alias("source"), "data_completeness_score")
-    crosses = counts.cross_counts(df.select(F.explode("stressors_tolerated").alias("stress"), "crop_type"),
-                                  "stress", "crop_type")
+    sources = counts.elements(df, "data_sources", "source", "data_completeness_score")
+    crosses = counts.cross_counts(counts.elements(df, "stressors_tolerated", "stress", "crop_type"), "stress", "crop_type")
     matrix = stats.correlations(df, number)
     years = counts.value_counts(df, "year_of_release")
     return {

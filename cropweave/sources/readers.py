@@ -19,6 +19,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when it has fewer splits than cores; else leave it alone.
+
+    For costly per-row work on a table stored in few row groups. A large table has more splits than cores, so it is
+    never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_registry_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header; quotes are doubled inside quoted cells and cells may hold line breaks."""
     return (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cropweave.functions import labels, text
 from cropweave.operators import columns, counts
 from cropweave.operators.ordering import id_check, with_sequential_id
-from cropweave.sources.readers import read_table
+from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
 
@@ -125,7 +125,7 @@ def group_lookup(spark: SparkSession, d: str) -> DataFrame:
 SELECT doc_id, value FROM (SELECT doc_id, unnest(list_transform(regexp_split_to_array(text, '[,;\n]'),
        lambda v: regexp_replace(v, '^\s+|\s+$', '', 'g'))) AS value FROM documents) WHERE length(value) > 2""")
 def split_explode(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("doc_id", F.explode(text.split_values("text")).alias("value"))
+    return spread(read_table(spark, d, "documents")).select("doc_id", F.explode(text.split_values("text")).alias("value"))
 
 
 @query("link_names", r"""

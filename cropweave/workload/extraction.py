@@ -9,7 +9,7 @@ from cropweave.functions import jsonio
 from cropweave.functions.text import slug
 from cropweave.operators import extract
 from cropweave.plans.extraction import extract_records
-from cropweave.sources.readers import read_table
+from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
 RUN_TS = "2024-01-01T00:00:00"
@@ -21,7 +21,7 @@ WITH t AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*
 SELECT page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) || href AS link_url, trim(txt) AS link_text, '' AS link_title,
        'href' AS link_source FROM t""")
 def html_links(spark: SparkSession, d: str) -> DataFrame:
-    links = extract.html_links(read_table(spark, d, "pages"), suffix="")
+    links = extract.html_links(spread(read_table(spark, d, "pages")), suffix="")
     return links.select("page_id", "link_url", "link_text", "link_title", "link_source")
 
 
@@ -36,7 +36,7 @@ def document_links(spark: SparkSession, d: str) -> DataFrame:
         F.lit("<!-- <a href='old.pdf'>old</a> --><a class=x HREF='../files/"), key, F.lit(".PDF' title=\""), "c_mktsegment",
         F.lit('"> <b>'), "c_name", F.lit("</b> &amp; co</a><a href='page.html'>no</a><div onclick=\"open('/get/"), key,
         F.lit(".pdf?z=1', 'w')\">"), "c_name", F.lit("</div>"))
-    pages = read_table(spark, d, "customer").select("c_custkey", F.lit("http://m.example.org/a/b/index.html?q=1").alias("url"),
+    pages = spread(read_table(spark, d, "customer")).select("c_custkey", F.lit("http://m.example.org/a/b/index.html?q=1").alias("url"),
                                                     html.alias("html"))
     links = extract.html_links(pages)
     text = F.replace("link_text", F.lit("& co"), F.lit(" & co"))
@@ -59,7 +59,7 @@ def table_rows(spark: SparkSession, d: str) -> DataFrame:
                     *td(F.lit("1"), F.col("c_mktsegment"), year, F.lit(" Punjab "), names),
                     *td(F.lit("2"), F.col("c_mktsegment"), F.lit("2016"), F.lit("Punjab"), F.concat(F.lit("HD "), key, F.lit("x"))),
                     *td(F.lit("3"), F.lit("too"), F.lit("few"), F.lit("cells")), F.lit("</table>"))
-    pages = read_table(spark, d, "customer").select("c_custkey", html.alias("html"))
+    pages = spread(read_table(spark, d, "customer")).select("c_custkey", html.alias("html"))
     rows = extract.registry_rows(extract.table_cells(pages))
     return rows.drop("row_pos", "value_pos")
 
@@ -80,7 +80,7 @@ def order_replies(spark: SparkSession, d: str) -> DataFrame:
         F.lit("[]"),
     ]
     shape = F.get(F.array(*shapes), (F.col("o_orderkey") % 8).cast("int"))
-    return read_table(spark, d, "orders").select(F.concat(F.lit("in/doc "), key, F.lit(".pdf")).alias("doc_path"),
+    return spread(read_table(spark, d, "orders")).select(F.concat(F.lit("in/doc "), key, F.lit(".pdf")).alias("doc_path"),
                                                  shape.alias("reply_text"))
 
 

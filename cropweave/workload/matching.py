@@ -10,7 +10,7 @@ from cropweave.functions.text import compare_key
 from cropweave.operators import matching, quality
 from cropweave.plans.registries import match_registries
 from cropweave.session import stage_table
-from cropweave.sources.readers import read_table
+from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
 RUN_TS = "2024-01-01 00:00:00"
@@ -20,7 +20,7 @@ _WORDS = r"[\p{L}\p{N}]+"
 def _vocabulary(df: DataFrame, text: str, block: str, position: str, stride: int) -> DataFrame:
     """Distinct (block, term) with the position of the first occurrence as ``src_pos``, stored as a registry table."""
     words = F.regexp_extract_all(F.lower(text), F.lit(_WORDS), F.lit(0))
-    rows = df.select(F.col(block).alias("crop"), F.col(position).alias("_p"), F.posexplode(words).alias("_w", "variety_name"))
+    rows = spread(df).select(F.col(block).alias("crop"), F.col(position).alias("_p"), F.posexplode(words).alias("_w", "variety_name"))
     first = F.min(F.col("_p") * stride + F.col("_w")).alias("src_pos")
     return stage_table(rows.groupBy("crop", "variety_name").agg(first))
 

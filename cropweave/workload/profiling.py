@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cropweave.functions.jsonio import array_size
 from cropweave.operators import counts, kpis, stats
-from cropweave.sources.readers import read_table
+from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
 
@@ -22,7 +22,7 @@ _WORDS_SQL = r"SELECT doc_id, lang, source, list_distinct(regexp_extract_all(low
 def worded(spark: SparkSession, d: str) -> DataFrame:
     """All documents with the array of their distinct words."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0)))
-    return read_table(spark, d, "documents").select("doc_id", "lang", "source", words.alias("words"))
+    return spread(read_table(spark, d, "documents")).select("doc_id", "lang", "source", words.alias("words"))
 
 
 def dated_orders(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,7 @@ _DESCRIBE = """SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}),
 @query("describe", " UNION ALL ".join(_DESCRIBE.format(c=c, t="lineitem") for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def describe(spark: SparkSession, d: str) -> DataFrame:
     """Quartiles come from order statistics spread over several buckets."""
-    summary = stats.describe(read_table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], rows_per_bucket=10_000)
+    summary = stats.describe(read_table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], rows_per_bucket=15_000)
     return _rounded(summary, "mean", "std", "q25", "q50", "q75")
 
 
@@ -127,7 +127,7 @@ def element_totals(spark: SparkSession, d: str) -> DataFrame:
 @query("crosstab", f"""WITH w AS ({_WORDS_SQL})
 SELECT word, lang, count(*) AS count FROM (SELECT unnest(words) AS word, lang FROM w) GROUP BY ALL""")
 def crosstab(spark: SparkSession, d: str) -> DataFrame:
-    return counts.cross_counts(worded(spark, d).select(F.explode("words").alias("word"), "lang"), "word", "lang")
+    return counts.cross_counts(counts.elements(worded(spark, d), "words", "word", "lang"), "word", "lang")
 
 
 @query("crosstab_wide", f"""WITH w AS ({_WORDS_SQL})
@@ -154,7 +154,7 @@ _AMOUNTS = "x AS (SELECT *, CASE WHEN l_tax > 0 THEN l_quantity * 100 + l_extend
 
 def _amounts(spark: SparkSession, d: str) -> DataFrame:
     amount = F.when(F.col("l_tax") > 0, F.col("l_quantity") * 100 + F.col("l_extendedprice") / 1000)
-    return read_table(spark, d, "lineitem").withColumn("amount", amount)
+    return spread(read_table(spark, d, "lineitem")).withColumn("amount", amount)
 
 
 @query("correlations", f"WITH {_AMOUNTS} " + " UNION ALL ".join(

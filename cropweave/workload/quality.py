@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropweave.operators import quality
-from cropweave.sources.readers import read_table
+from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
 _GROUPS = {"essential": (50, ("source", "lang", "quality", "absent", "words")), "stress": (30, ("toxic", "note")),
@@ -17,7 +17,7 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
     """All documents with their labels (null where unlabelled) and an array of their distinct initials."""
     note = F.when(F.col("n_chars") % 3 == 0, F.lit(" ")).when(F.col("n_chars") % 3 == 1, F.lit("Not Specified")).otherwise(F.lit("x"))
     words = F.array_distinct(F.filter(F.transform(F.split("text", " "), lambda w: F.lower(F.left(w, F.lit(1)))), lambda c: c.rlike("^[a-c]$")))
-    return (read_table(spark, d, "documents").join(read_table(spark, d, "labels"), "doc_id", "left")
+    return (spread(read_table(spark, d, "documents")).join(read_table(spark, d, "labels"), "doc_id", "left")
             .select("doc_id", "source", "lang", "quality", "toxic", "n_chars", note.alias("note"), words.alias("words")))
 
 
