@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from cropweave.functions.text import as_col, strip
 
 
+# The rest of a tag after its name; quoted values may hold a '>'.
+TAG_REST = r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>"""
+
+
 @F.pandas_udf(T.StringType())
 def unescape_html(text: pd.Series) -> pd.Series:
     """Character references -> characters."""

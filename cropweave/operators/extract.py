@@ -45,13 +45,15 @@ def html_links(pages: DataFrame, url: str = "url", html: str = "html", suffix: s
     # Pages without the suffix never reach the tag patterns.
     hits = pages.where(F.contains(F.lower(html), F.lit(wanted))) if wanted else pages
     clean = urls.visible_html(html)
-    anchors = F.regexp_extract_all(clean, F.lit(r"(?is)(<a\b[^>]*>.*?)</a\s*>"), F.lit(1))
-    clickable = F.regexp_extract_all(clean, F.lit(r"(?is)(<(?:a|div)\b[^>]*\bonclick\b[^>]*>[^<]*(?:<(?!/?(?:a|div)\b)[^<]*)*)"),
-                                     F.lit(1))
+    # An element's text ends at the next tag of its kind, so an unclosed link hides no other link.
+    anchors = F.regexp_extract_all(clean, F.lit(rf"(?is)(<a\b{urls.TAG_REST}.*?)(?=</?a\b|$)"), F.lit(1))
+    clickable = F.regexp_extract_all(
+        clean, F.lit(rf"(?is)(<(?:a|div)\b(?=[^>]*\bonclick\b){urls.TAG_REST}.*?)(?=</?(?:a|div)\b|$)"), F.lit(1))
 
     def parts(element: Column, source: str) -> Column:
-        tag = F.regexp_extract(element, r"(?s)^(<[^>]*>)", 1)
-        body = F.regexp_replace(element, r"(?s)^<[^>]*>", "")
+        whole_tag = rf"(?s)^(<\w+{urls.TAG_REST})"
+        tag = F.regexp_extract(element, whole_tag, 1)
+        body = F.regexp_replace(element, whole_tag, "")
         raw = urls.attribute(tag, "href" if source == "href" else "onclick")
         return F.struct(F.lit(source).alias("source"), raw.alias("raw"), urls.inner_text(body).alias("text"),
                         F.coalesce(urls.attribute(tag, "title"), F.lit("")).alias("title"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropweave.functions.jsonio import parse_object
 from cropweave.operators import context as ctx
+from cropweave.sources.writers import write_json, write_parquet
 
 RESULT_FIELDS = ("title", "author", "year", "journal", "abstract", "url", "snippet", "citations")
 
@@ -93,3 +94,32 @@ def enrich(varieties: DataFrame, contexts: DataFrame, replies: DataFrame, run_ts
         F.col("context").dropFields("_name").alias("context_data"),
         F.struct(*fields, metadata.alias("processing_metadata"), F.col("_parsed.error").alias("error")).alias("analysis_result"),
         F.lit(run_ts).alias("enrichment_timestamp"))
+
+
+def run_context(varieties: DataFrame, results: DataFrame, out: str, run_ts: str, batch: int = 1,
+                fields: Sequence[str] = RESULT_FIELDS) -> DataFrame:
+    """Write the context documents of a batch and its counters; varieties with documents already there are skipped."""
+    spark, folder = varieties.sparkSession, f"{out}/contexts"
+    info = "variety_info struct<variety_name: string, crop_name: string>, batch int"
+    done = spark.read.schema(info).json(folder) if _exists(spark, folder) else spark.createDataFrame([], info)
+    fresh = ctx.not_yet_done(varieties, done.select("variety_info.variety_name"), ["variety_name"])
+    documents = compile_context(fresh, results, run_ts, fields).withColumn("batch", F.lit(batch))
+    (documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(folder))
+    written = spark.read.schema(documents.schema).json(folder).where(F.col("batch") == batch)
+    entries = written.select("variety_info.variety_name", F.explode("search_results").alias("e")).select("variety_name", "e.*")
+    write_json(ctx.run_counters(entries, ["variety_name"]).withColumn("batch", F.lit(batch)), f"{out}/counters/batch={batch}")
+    return written
+
+
+def run_enrichment(varieties: DataFrame, contexts: DataFrame, replies: DataFrame, out: str, run_ts: str,
+                   batch: int = 1) -> DataFrame:
+    """Write the enriched records of a batch and the varieties that have no context."""
+    missing = ctx.without_context(varieties, contexts.withColumn("_name", F.col("variety_info.variety_name")),
+                                  "variety_name", "_name")
+    write_json(missing, f"{out}/without_context/batch={batch}")
+    return write_parquet(enrich(varieties, contexts, replies, run_ts), f"{out}/enriched/batch={batch}")
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

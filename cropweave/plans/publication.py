@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from cropweave.functions.jsonio import path_column
 from cropweave.functions.text import UNKNOWN, name_features, strip, title_case
 from cropweave.operators import duplicates
-from cropweave.operators.columns import project_paths, resolves
-from cropweave.operators.ordering import with_sequential_id
+from cropweave.operators.columns import project_paths, resolves, trim_strings
+from cropweave.operators.ordering import with_position, with_sequential_id
+from cropweave.operators.quality import orphans
 from cropweave.operators.stats import column_profile
 from cropweave.sources.writers import schema_document, write_csv, write_json, write_parquet
 
@@ -75,10 +76,10 @@ def classify(enriched: DataFrame, position: str, features_from: str = "raw", **o
 def publish_schema(consolidated: DataFrame, order: Sequence[str], **options: int) -> DataFrame:
     """The 22 published columns, id first, in record order."""
     mapping = {name: path for name, path, _ in PUBLISHED}
-    flat = project_paths(consolidated, mapping, keep=[c for c in order if c not in mapping])
+    flat = trim_strings(project_paths(consolidated, mapping, keep=[c for c in order if c not in mapping]))
     for field in KEY_FIELDS:
-        clean = strip(F.col(field).cast("string"))
-        styled = clean if field == "approval_status" else title_case(clean)
+        text = F.col(field).cast("string")
+        styled = text if field == "approval_status" else title_case(text)
         flat = flat.withColumn(field, F.coalesce(styled, F.lit(UNKNOWN)))
     numbered = with_sequential_id(flat, list(order), "variety_id", "STS_", **options)
     return numbered.select("variety_id", *mapping)
@@ -131,6 +132,19 @@ def tolerance_details(enriched: DataFrame, variety_id: str, profile: str = "anal
         "variety_id", "e.stress_type", "e.tolerance_level", "e.evidence_source", "confidence_score")
 
 
+def export_tables(parents: DataFrame, details: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
+    """Write the parent and the child table; children get their own id and must have a parent.
+
+    Orphans are written aside, not dropped silently.
+    """
+    kept = details.join(parents.select("variety_id"), "variety_id", "left_semi")
+    numbered = with_position(kept, ["variety_id", "stress_type"], "tolerance_id")
+    columns = ("tolerance_id", "variety_id", "stress_type", "tolerance_level", "evidence_source", "confidence_score")
+    child = numbered.withColumn("tolerance_id", F.col("tolerance_id") + 1).select(*columns)
+    write_parquet(orphans(details, parents, "variety_id"), f"{out}/orphans")
+    return write_parquet(parents, f"{out}/varieties"), write_parquet(child, f"{out}/tolerance_details")
+
+
 def nested_json(parents: DataFrame, details: DataFrame, key: str = "variety_id") -> DataFrame:
     """One JSON text per variety, its tolerance details as an object keyed by stress type.
 

@@ -89,6 +89,22 @@ def test_enriched_records(spark, contexts):
     assert rows["V1"].context_data.search_metadata.total_results == 13
 
 
+def test_batches_skip_finished_varieties(spark, tmp_path):
+    out = str(tmp_path)
+    one = spark.createDataFrame([("v1", "rice")], "variety_name string, crop_name string")
+    both = spark.createDataFrame([("v1", "rice"), ("v2", "rice")], one.schema)
+    first = enrichment.run_context(one, results(spark), out, TS, 1, ("title", "year"))
+    second = enrichment.run_context(both, results(spark), out, TS, 2, ("title", "year"))
+    assert [r.variety_info.variety_name for r in first.collect()] == ["v1"]
+    assert [r.variety_info.variety_name for r in second.collect()] == ["v2"]
+    assert spark.read.json(f"{out}/counters/batch=1").first().total_results == 13
+    names = spark.createDataFrame([("V1", "rice"), ("other", "rice")], "variety_name string, crop_type string")
+    replies = spark.createDataFrame([("V1", "{}")], "variety_name string, reply_text string")
+    contexts = first.selectExpr("*", "'a' as source_path")
+    assert enrichment.run_enrichment(names, contexts, replies, out, TS).count() == 1
+    assert spark.read.json(f"{out}/without_context/batch=1").first().variety_name == "other"
+
+
 def test_payload_is_json(spark, contexts):
     from pyspark.sql import functions as F
 

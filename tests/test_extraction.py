@@ -99,7 +99,8 @@ def test_resolve_url_matches_urljoin(spark):
 HTML = """<html><script>var x = '<a href="s.pdf">s</a>';</script><!-- <a href="c.pdf">c</a> -->
 <A class='k' HREF="A.PDF" title="T &amp; t"> <b>First</b> link </A><a href='/m/x.pdf'>x&nbsp;y</a><a href=u.pdf>u</a>
 <a href="page.html">no</a><a data-href="n.pdf" href="n.html">n</a><a href="A.PDF">again</a>
-<div onclick="open('d/y.pdf?z=1')">Open</div><a href="#" onclick='go("e.pdf", "f.pdf")'>Go</a><div onclick="open('z.html')">z</div></html>"""
+<a href="open.pdf" title="a > b">never closed <a href="next.pdf">next</a><a href="/one"><img src="i.png"/></a>
+<div onclick="open('d/y.pdf?z=1')">Open<p>it</p></div><a href="#" onclick='go("e.pdf", "f.pdf")'>Go</a><div onclick="open('z.html')">z</div></html>"""
 
 
 def test_links(spark):
@@ -108,7 +109,8 @@ def test_links(spark):
     assert got == [
         ("href", "http://h.org/p/A.PDF", "Firstlink", "T & t"), ("href", "http://h.org/m/x.pdf", "x\xa0y", ""),
         ("href", "http://h.org/p/u.pdf", "u", ""), ("href", "http://h.org/p/A.PDF", "again", ""),
-        ("onclick", "http://h.org/p/d/y.pdf?z=1", "Open", ""), ("onclick", "http://h.org/p/e.pdf", "Go", "")]
+        ("href", "http://h.org/p/open.pdf", "never closed", "a > b"), ("href", "http://h.org/p/next.pdf", "next", ""),
+        ("onclick", "http://h.org/p/d/y.pdf?z=1", "Openit", ""), ("onclick", "http://h.org/p/e.pdf", "Go", "")]
 
 
 TABLE = """<table><tr><th>SlNo</th></tr>

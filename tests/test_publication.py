@@ -74,3 +74,12 @@ def test_child_table_and_json(spark):
     docs = {r.variety_id: json.loads(r.document) for r in publication.nested_json(parents, details).collect()}
     assert docs[1]["stress_tolerance_details"]["drought_tolerance"] == {"level": "high", "evidence": "e1; e2"}
     assert docs[99] == {"variety_id": 99, "variety_name": "y"}
+
+
+def test_parent_and_child_tables(spark, tmp_path):
+    details = publication.tolerance_details(enriched(spark), "src_pos")
+    parents = spark.createDataFrame([(i, f"v{i}") for i in range(1, 5)], "variety_id long, variety_name string")
+    parent, child = publication.export_tables(parents, details, str(tmp_path))
+    assert parent.count() == 4 and child.count() == 24
+    assert [r.tolerance_id for r in child.orderBy("variety_id", "stress_type").collect()] == list(range(1, 25))
+    assert spark.read.parquet(f"{tmp_path}/orphans").select("variety_id").distinct().collect()[0][0] == 5
