@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cropweave.functions.jsonio import array_size
 from cropweave.functions.text import as_col, decade
+from cropweave.session import stage_table
 
 
 def value_counts(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
@@ -59,6 +60,8 @@ def cross_table(counts: DataFrame, row: str, column: str, values: Sequence[str])
 
 def top_cross_counts(counts: DataFrame, row: str, column: str, rows: int = 10, columns: int = 8) -> DataFrame:
     """Cells of the ``rows`` x ``columns`` sub-table with the largest totals, zeros filled in."""
+    counts = stage_table(counts)  # read for both marginals and for the cells
+
     def leading(name: str, k: int) -> DataFrame:
         return top_k(counts.groupBy(name).agg(F.sum("count").alias("count")), k).select(name)
 
@@ -116,8 +119,9 @@ def diversity(df: DataFrame, owner: str, item: str) -> DataFrame:
 
 def specialists(df: DataFrame, group: str, owner: str, groups: int = 5, owners: int = 3) -> DataFrame:
     """The leading owners of each of the largest groups."""
-    leading = top_k(value_counts(df, group), groups).select(group)
-    counts = cross_counts(df, group, owner).join(F.broadcast(leading), group, "left_semi")
+    pairs = stage_table(df.where(F.col(group).isNotNull()).groupBy(group, owner).agg(F.count("*").alias("count")))
+    leading = top_k(pairs.groupBy(group).agg(F.sum("count").alias("count")), groups).select(group)
+    counts = pairs.where(F.col(owner).isNotNull()).join(F.broadcast(leading), group, "left_semi")
     order = Window.partitionBy(group).orderBy(F.desc("count"), owner)
     return (counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= owners))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropweave.operators.ordering import ROWS_PER_BUCKET, with_position
+from cropweave.session import stage_table
 
 UNIQUE, EXACT, RELATED, TYPO = "Unique", "Exact Match", "Related but Distinct", "Typo/Formatting Issue"
 COLLAPSED = (EXACT, TYPO)
@@ -31,6 +32,7 @@ def duplicate_groups(df: DataFrame, key: str, prefix: str, numeric: str, positio
                    (F.min("prefix") == F.max("prefix")).alias("one_prefix"),
                    (F.min("number") < F.max("number")).alias("many_numbers"))
               .where(F.col("group_size") > 1))
+    groups = stage_table(groups)  # numbering reads it several times
     category = (F.when(F.col("fewest") >= 2, F.lit(EXACT))
                 .when(F.col("one_prefix") & F.col("many_numbers"), F.lit(RELATED)).otherwise(F.lit(TYPO)))
     ranked = with_position(groups, ["group_key"], "match_id", rows_per_bucket=rows_per_bucket)

@@ -126,13 +126,16 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         return F.filter("_targets", lambda t: covered(s, n, t["low"]) | covered(s, n, t["high"]))
 
     bounds = _bounds(counts, ["value"], rows_per_bucket)
-    bucketed = counts.withColumn("_bucket", _bucket(counts, ["value"], bounds) if bounds else F.lit(0))
-    holding = (_bucket_starts(bucketed, F.col("n")).withColumn("_targets", targets)
-               .where(F.size(wanted("_start", "_size")) > 0))
-    place = _place(Window.partitionBy("_bucket").orderBy("value"), F.col("n"))
-    placed = (bucketed.join(F.broadcast(holding), "_bucket")
-              .withColumn("_before", F.col("_start") + place)
-              .select("value", "n", "_before", F.explode(wanted("_before", "n")).alias("t")))
+    if bounds:
+        bucketed = counts.withColumn("_bucket", _bucket(counts, ["value"], bounds))
+        holding = (_bucket_starts(bucketed, F.col("n")).withColumn("_targets", targets)
+                   .where(F.size(wanted("_start", "_size")) > 0))
+        place = _place(Window.partitionBy("_bucket").orderBy("value"), F.col("n"))
+        ranked = bucketed.join(F.broadcast(holding), "_bucket").withColumn("_before", F.col("_start") + place)
+    else:
+        place = _place(Window.partitionBy(F.lit(0)).orderBy("value"), F.col("n"))
+        ranked = counts.withColumn("_before", place).withColumn("_targets", targets)
+    placed = ranked.select("value", "n", "_before", F.explode(wanted("_before", "n")).alias("t"))
     at = lambda rank: F.max(F.when(covered(F.col("_before"), F.col("n"), F.col(rank)), F.col("value")))
     low, high = F.col("low_value"), F.col("high_value")
     return (placed.groupBy(F.col("t.probability").alias("probability"))

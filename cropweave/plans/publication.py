@@ -14,6 +14,7 @@ from cropweave.operators.columns import project_paths, resolves, trim_strings
 from cropweave.operators.ordering import with_position, with_sequential_id
 from cropweave.operators.quality import orphans
 from cropweave.operators.stats import column_profile
+from cropweave.session import stage_table
 from cropweave.sources.writers import schema_document, write_csv, write_json, write_parquet
 
 ANALYSIS = ("analysis_result.variety_analysis.variety_name", "analysis_result.variety_identification.variety_name")
@@ -87,7 +88,7 @@ def publish_schema(consolidated: DataFrame, order: Sequence[str], **options: int
 
 def build_catalogue(enriched: DataFrame, position: str = "src_pos", features_from: str = "raw") -> tuple[DataFrame, DataFrame]:
     """(published catalogue, duplicate totals) from enriched records with a unique position column."""
-    analyzed = classify(enriched, position, features_from)
+    analyzed = stage_table(classify(enriched, position, features_from))
     published = publish_schema(duplicates.consolidate(analyzed, position), [position])
     return published, duplicates.duplicate_totals(analyzed)
 

@@ -21,7 +21,10 @@ def usual_range(df: DataFrame) -> DataFrame:
 
 
 def profile_catalogue(df: DataFrame) -> dict[str, DataFrame]:
-    """Report name -> lazy frame. Nothing runs until a report is read; persist ``df`` when reading many."""
+    """Report name -> frame. ``df`` is read once or more per report, so hand in a stored table and not a long plan.
+
+    A few reports store an intermediate count table at once; everything else runs when it is read.
+    """
     number = stats.numeric_columns(df)
     sources = counts.elements(df, "data_sources", "source", "data_completeness_score")
     crosses = counts.cross_counts(counts.elements(df, "stressors_tolerated", "stress", "crop_type"), "stress", "crop_type")

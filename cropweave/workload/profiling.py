@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cropweave.functions.jsonio import array_size
 from cropweave.operators import counts, kpis, stats
+from cropweave.session import stage_table
 from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
 
@@ -276,6 +277,6 @@ SELECT b.*, t1.lang AS top_crop, t1.n AS top_crop_count, t2.source AS top_instit
        t3.source AS top_diverse_institution, t3.n AS top_diverse_institution_count, t4.x AS top_trait, t4.n AS top_trait_count,
        t5.x AS top_state, t5.n AS top_state_count, (SELECT count(*) FROM s) AS unique_states FROM b, t1, t2, t3, t4, t5""")
 def summary_kpis(spark: SparkSession, d: str) -> DataFrame:
-    kpi = kpis.summary_kpis(catalogue_documents(spark, d), _KPI_COLUMNS)
+    kpi = kpis.summary_kpis(stage_table(catalogue_documents(spark, d)), _KPI_COLUMNS)
     return _rounded(kpi, "mean_completeness", "crop_diversity_index", "with_traits_percent", "mean_year_since_1990",
                     "good_quality_percent", "high_confidence_percent")
