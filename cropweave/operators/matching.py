@@ -8,7 +8,9 @@ has none, and keeps the best one at or above the threshold. The plan never pairs
 3. the others meet through the rarest letter pairs of their keys (a prefix filter). With t = (T - 0.5) / 200 a
    score of T needs LCS >= t*S for S = len a + len b; each deleted letter breaks at most two letter pairs and each
    inserted one at most one, so at least 3*LCS - S + 1 pairs survive in both keys, and two keys that share that
-   many must share one among the first (pairs - that + 1) of any common order. Rarest first keeps groups small;
+   many must share one among the first (pairs - that + 1) of any common order. Rarest first keeps groups small.
+   A signature shared by very many keys is split into a grid of cells, left keys by row and right keys by column, so
+   no task gets all its pairs;
 4. native ``levenshtein`` with a per-pair limit drops most candidates, the exact score decides the rest;
 5. an aggregate keeps the best right row per left key.
 
@@ -29,6 +31,8 @@ from cropweave.functions.text import compare_key
 from cropweave.session import stage_table
 
 GRAM_BUCKETS = 8_192
+# Keys of either side that meet in one cell of a common signature.
+CELL_KEYS = 4_096
 # Below this length an unequal pair scores at most 99, so an equal key cannot be tied.
 EXACT_IS_BEST = 99
 
@@ -73,21 +77,27 @@ def _gram_frequency(keys: DataFrame, t: float) -> DataFrame:
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> DataFrame:
     """Scored pairs at or above the threshold from two frames of distinct (scope, block, key)."""
     t = (threshold - 0.5) / 200
-    frequency = _gram_frequency(right, t)
+    frequency = _gram_frequency(left.unionByName(right), t)
 
-    def signed(df: DataFrame, key_name: str) -> DataFrame:
+    def signed(df: DataFrame, key_name: str, own_split: str, other_split: str) -> DataFrame:
+        """One row per signature; a signature of many keys is split into a grid of (left, right) cells."""
         signatures = _prefix_signatures(F.col("key"), F.col("frequency"), t)
-        return (df.withColumn("frequency", frequency.scalar())
+        rows = (df.withColumn("frequency", frequency.scalar())
                 .select("scope", "block", F.col("key").alias(key_name), F.explode(signatures).alias("signature")))
+        # A code starts with the number of keys that hold its gram.
+        splits = (F.floor(F.col("signature") / F.lit(GRAM_BUCKETS * CELL_KEYS)) + 1).cast("int")
+        return rows.select("*", F.pmod(F.xxhash64(key_name), splits).cast("int").alias(own_split),
+                           F.explode(F.sequence(F.lit(0), splits - 1)).alias(other_split))
 
-    a, b = signed(left, "left_key").alias("a"), signed(right, "right_key").alias("b")
+    a = signed(left, "left_key", "left_split", "right_split").alias("a")
+    b = signed(right, "right_key", "right_split", "left_split").alias("b")
     total = F.length("left_key") + F.length("right_key")
     least_lcs = F.ceil(total * F.lit(t) - F.lit(1e-9))
     limit = F.greatest(total - 2 * least_lcs, F.lit(0)).cast("int")
     near = F.call_function("levenshtein", F.col("left_key"), F.col("right_key"), limit) >= 0
     lengths_fit = F.least(F.length("left_key"), F.length("right_key")) >= least_lcs
     candidates = (
-        a.join(b, _same("scope", "block") & (F.col("a.signature") == F.col("b.signature")) & lengths_fit)
+        a.join(b, _same("scope", "block", "signature", "left_split", "right_split") & lengths_fit)
         .where(near)
         .select("a.scope", "a.block", "left_key", "right_key").distinct())
     return (candidates.withColumn("score", indel_score("left_key", "right_key"))

@@ -37,9 +37,13 @@ def mutate(rng, name):
     return "".join(letters).strip() or "b"
 
 
-@pytest.mark.parametrize("threshold", [80, 91, 60])
-def test_best_match_equals_brute_force(spark, threshold):
-    """Blocks, null blocks, a block only on the left, equal names, long names, and one crop holding most rows."""
+@pytest.mark.parametrize("threshold, cell_keys", [(80, 4096), (80, 5), (91, 4096), (60, 5)])
+def test_best_match_equals_brute_force(spark, monkeypatch, threshold, cell_keys):
+    """Blocks, null blocks, a block only on the left, equal names, long names, and one crop holding most rows.
+
+    With few keys per cell every common signature is split.
+    """
+    monkeypatch.setattr(matching, "CELL_KEYS", cell_keys)
     rng = random.Random(threshold)
     crops = ["x"] * 6 + ["y", None]
     word = lambda: "".join(rng.choice("abcde 12") for _ in range(rng.choice([1, 2, 5, 9, 14, 30, 130]))).strip() or "a"
