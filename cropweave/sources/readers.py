@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropweave.functions.jsonio import parse_string_array
+from cropweave.operators.ordering import with_position
+from cropweave.session import stage_table
 
 OVERSIZE_BYTES = 20 * 1024 * 1024
 ARRAY_COLUMNS = ("stressors_tolerated", "quality_traits", "genetic_markers", "parent_lines", "adaptation_zones",
@@ -29,8 +31,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def read_registry_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header; quotes are doubled inside quoted cells and cells may hold line breaks."""
+def with_source_position(rows: DataFrame, column: str = "src_pos") -> DataFrame:
+    """Number the rows of a file read by file and place in the file (0-based), for registries without an order of their own.
+
+    Use it directly on a reader's result. The rows are stored once, so that all later steps see the same numbers.
+    """
+    placed = rows.withColumn("source_path", F.input_file_name()).withColumn("_line", F.monotonically_increasing_id())
+    return with_position(stage_table(placed), ["source_path", "_line"], column).drop("_line")
+
+
+def read_registry_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """CSV files with header; quotes are doubled inside quoted cells and cells may hold line breaks."""
     return (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
             .option("multiLine", True).csv(path))
 

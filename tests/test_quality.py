@@ -48,3 +48,13 @@ def test_consistency_and_orphans(spark):
     got = {tuple(r) for r in quality.consistency_check(a, b, "k", ["f", "g"]).collect()}
     assert got == {(1, "both", True, False), (2, "both", True, True), (3, "left_only", False, False), (4, "right_only", False, False)}
     assert [r.k for r in quality.orphans(a, b, "k").collect()] == [3]
+
+
+def test_search_reaches_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame([("Rice", ["Goa"], 0.9, "x"), ("Wheat", ["Goa"], 0.9, "x")],
+                                 "crop_type string, recommended_states array<string>, data_completeness_score double, note string")
+    rows.write.partitionBy("crop_type").parquet(str(tmp_path / "t"))
+    found = quality.search_catalogue(spark.read.parquet(str(tmp_path / "t")), crop="Rice", state="Goa", min_score=0.5)
+    plan = found.select("crop_type", "recommended_states")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(crop_type" in plan and "GreaterThanOrEqual(data_compl" in plan
+    assert "note" not in plan.split("ReadSchema")[1] and found.count() == 1

@@ -22,6 +22,16 @@ def test_catalogue_csv(spark, tmp_path):
     assert rows[1][:] == ("Two", "RICE", None, [])
 
 
+def test_registry_files_are_numbered_in_order(spark, tmp_path):
+    names = [f"n{i}" for i in range(2500)]
+    (tmp_path / "a.csv").write_text("name\n" + "\n".join(names[:2000]) + "\n")
+    (tmp_path / "b.csv").write_text("name\n" + "\n".join(names[2000:]) + "\n")
+    schema = T.StructType([T.StructField("name", T.StringType())])
+    df = readers.with_source_position(readers.read_registry_csv(spark, [str(tmp_path / "b.csv"), str(tmp_path / "a.csv")], schema))
+    assert [r.name for r in df.orderBy("src_pos").collect()] == names
+    assert df.agg(F.min("src_pos"), F.max("src_pos")).first()[:] == (0, 2499)
+
+
 def test_final_falls_back(spark, tmp_path):
     (tmp_path / "c.csv").write_text(CSV)
     assert readers.read_final(spark, "no_such_table", str(tmp_path / "c.csv"), SCHEMA).count() == 2
