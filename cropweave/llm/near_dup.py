@@ -254,3 +254,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     return (held.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", own.alias("component_id"),
                     F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept")))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM w, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached),
+m AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)
+"""

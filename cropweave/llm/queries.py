@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import near_dup
+from cropweave.llm import decontaminate, line_dedup, near_dup
 from cropweave.llm.base import query, table
 
 
-@query("op4_minhash_near_dup")
+@query("op4_minhash_near_dup", near_dup.SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op2_winnow_decontaminate", decontaminate.SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("row")
+
+
+@query("op3_winnow_line_dedup", line_dedup.SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduplicate_lines(table(spark, folder, "documents"))
