@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup
+from cropweave.llm import decontaminate, line_dedup, near_dup, toxicity
 from cropweave.llm.base import query, table
 
 
@@ -21,3 +21,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_winnow_line_dedup", line_dedup.SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduplicate_lines(table(spark, folder, "documents"))
+
+
+@query("op10_segment_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
