@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup, toxicity
+from cropweave.llm import decontaminate, line_dedup, near_dup, perplexity, toxicity
 from cropweave.llm.base import query, table
 
 
@@ -26,3 +26,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_segment_toxicity")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_kneser_ney_quality")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.quality(table(spark, folder, "documents"))
