@@ -204,7 +204,7 @@ def clusters(sketches: DataFrame) -> DataFrame:
                           .select("class", F.col("r.doc_id").alias("node"), "r.n_shingles", "r.bands"))
     banded = classes.select("node", F.explode("bands").alias("band"))
     centers = banded.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("other"))
-    edges = (banded.join(centers.filter("center <> other").select("band", "center"), "band")
+    edges = (banded.join(centers.filter("center <> other").select("band", "center").hint("merge"), "band")
              .filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")))
     found = components(edges)
     members = (classes.select("node", "class", "n_shingles").join(found, "node")
@@ -219,7 +219,8 @@ def clusters(sketches: DataFrame) -> DataFrame:
 
 def confirmed_links(docs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` on full sets that join all similar members of each cluster."""
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(members.drop("n_shingles"), "node")
+    # the candidates grow with the documents, so they are never broadcast
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(members.drop("n_shingles").hint("merge"), "node")
     sets = texts.select("text", "class", "cluster", "node", "cells", "cell").mapInArrow(
         lambda batches: _sets(batches, shingle), "cluster long, node long, cells int, cell int, shingles binary")
     # a cell meets itself and every other cell: the unit (low, high) is made once on each side
