@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup, perplexity, toxicity
+from cropweave.llm import decontaminate, line_dedup, near_dup, perplexity, secrets, toxicity
 from cropweave.llm.base import query, table
 
 
@@ -31,3 +31,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_kneser_ney_quality")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality(table(spark, folder, "documents"))
+
+
+@query("op7_entropy_secrets", secrets.SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
