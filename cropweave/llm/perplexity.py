@@ -33,7 +33,7 @@ BAND = 4.0
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
 
-_MODELS: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+_MODELS: dict[tuple[str, int], tuple[W.SortedHashes, np.ndarray]] = {}
 
 
 def _codes(piece: W.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -206,8 +206,8 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _packed(iter(held))
 
 
-def _load(folder: str, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes of a part, their log-probabilities, and where each hash beginning starts; kept by the worker."""
+def _load(folder: str, part: int) -> tuple[W.SortedHashes, np.ndarray]:
+    """Sorted hashes of a part and their log-probabilities; kept by the worker."""
     if (folder, part) not in _MODELS:
         _MODELS.clear()
         store, place = storage.located(f"{folder}/part={part}")
@@ -220,28 +220,15 @@ def _load(folder: str, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         values = np.concatenate(logps) if logps else np.zeros(0, np.float32)
         order = np.argsort(keys)
-        keys = keys[order]
-        heads = np.searchsorted(keys, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int64)
-        _MODELS[folder, part] = keys, values[order], np.append(heads, len(keys))
+        _MODELS[folder, part] = W.SortedHashes(keys[order]), values[order]
     return _MODELS[folder, part]
 
 
-def _look_up(wanted: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+def _look_up(wanted: np.ndarray, model: tuple[W.SortedHashes, np.ndarray]) -> np.ndarray:
     """Log-probability of each hash; 0 where this part does not hold it."""
-    keys, values, heads = model
-    out = np.zeros(len(wanted))
-    if len(keys):
-        low = heads[(wanted >> np.uint64(48)).astype(np.int64)]
-        at = np.minimum(low, len(keys) - 1)
-        behind = np.flatnonzero(keys[at] < wanted)
-        while len(behind):  # a beginning of 16 bits holds few hashes
-            at[behind] += 1
-            behind = behind[at[behind] < len(keys)]
-            behind = behind[keys[at[behind]] < wanted[behind]]
-        at = np.minimum(at, len(keys) - 1)
-        hit = keys[at] == wanted
-        out[hit] = values[at[hit]]
-    return out
+    table, values = model
+    at = table.find(wanted)
+    return np.where(at < 0, 0.0, values[at]) if len(values) else np.zeros(len(wanted))
 
 
 def _measures(piece: W.Slice) -> Iterator[tuple[int, int, int, int, int]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup, perplexity, secrets, toxicity
+from cropweave.llm import decontaminate, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, wavelet
 from cropweave.llm.base import query, table
 
 
@@ -36,3 +36,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_entropy_secrets", secrets.SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
+
+
+@query("op1_bm25_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op9_wavelet_shards")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    catalogue = wavelet.write_shards(table(spark, folder, "documents"), storage.new_folder(spark, "tokens"))
+    return wavelet.read_documents(catalogue)

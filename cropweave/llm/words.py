@@ -147,3 +147,29 @@ def inside(words: Words, k: int) -> np.ndarray:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+class SortedHashes:
+    """A sorted array of hashes with an index of their beginnings, for look-ups of many hashes at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = min(22, max(8, int(len(keys)).bit_length() + 1))
+        self.shift = np.uint64(64 - bits)
+        steps = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.heads = np.searchsorted(keys, steps).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is missing."""
+        n = len(self.keys)
+        if not n:
+            return np.full(len(wanted), -1, np.int64)
+        at = self.heads[(wanted >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(at < n)
+        behind = behind[self.keys[at[behind]] < wanted[behind]]
+        while len(behind):  # hashes spread evenly, so few share a beginning
+            at[behind] += 1
+            behind = behind[at[behind] < n]
+            behind = behind[self.keys[at[behind]] < wanted[behind]]
+        at = np.minimum(at, n - 1)
+        return np.where(self.keys[at] == wanted, at, -1)
