@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, wavelet
+from cropweave.llm import decontaminate, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, warc, wavelet
 from cropweave.llm.base import query, table
 
 
@@ -47,3 +47,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     catalogue = wavelet.write_shards(table(spark, folder, "documents"), storage.new_folder(spark, "tokens"))
     return wavelet.read_documents(catalogue)
+
+
+@query("op5_wacz_records", warc.SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    catalogue = warc.write_packages(table(spark, folder, "pages"), storage.new_folder(spark, "archives"))
+    return warc.read_records(warc.read_index(catalogue)).drop("url", "payload")
