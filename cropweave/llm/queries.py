@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, warc, wavelet
+from cropweave.llm import decontaminate, html, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, warc, wavelet
 from cropweave.llm.base import query, table
 
 
@@ -53,3 +53,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     catalogue = warc.write_packages(table(spark, folder, "pages"), storage.new_folder(spark, "archives"))
     return warc.read_records(warc.read_index(catalogue)).drop("url", "payload")
+
+
+@query("op8_suffix_array_html")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
