@@ -29,6 +29,8 @@ from cropweave.session import stage_table
 ORDER = 4
 #: n-grams in one part of the model (12 bytes each).
 PART_GRAMS = 8 << 20
+#: Bytes of text that n-gram arrays are made for at once; each byte takes some 100 bytes of arrays.
+SLICE = 1 << 20
 BAND = 4.0
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"
@@ -77,7 +79,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.R
         langs = batch.column("lang").to_pylist()
         hashed = _language(langs)
         parts = []
-        for piece in W.slices(batch.column("text")):
+        for piece in W.slices(batch.column("text"), SLICE):
             codes, bounds = _codes(piece)
             starts, grams = _grams(codes, bounds, hashed[piece.first:piece.last], order)
             if not len(starts):
@@ -274,7 +276,7 @@ def _scores(batches: Iterator[pa.RecordBatch], order: int, folder: str, part: in
     for batch in batches:
         hashed = _language(batch.column("lang").to_pylist())
         sums, counts, rows = [], [], []
-        for piece in W.slices(batch.column("text")):
+        for piece in W.slices(batch.column("text"), SLICE):
             codes, bounds = _codes(piece)
             starts, grams = _grams(codes, bounds, hashed[piece.first:piece.last], order)
             total = np.concatenate(([0.0], np.cumsum(_look_up(grams, model))))

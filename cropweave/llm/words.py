@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
