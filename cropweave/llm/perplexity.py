@@ -113,10 +113,10 @@ def _levels(top: DataFrame, order: int) -> dict[int, DataFrame]:
 def _discounts(level: DataFrame) -> DataFrame:
     """Modified Kneser-Ney discounts of each language from its counts of counts, with plain values where one is 0."""
     n = level.groupBy("lang").agg(*(F.sum((F.col("c") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)))
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
 
     def discount(i: int) -> Column:
-        value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+        value = i - (i + 1) * y * F.try_divide(f"n{i + 1}", f"n{i}")
         whole = (F.col("n1") > 0) & (F.col(f"n{i}") > 0)
         return F.when(whole, F.greatest(F.lit(0.1), F.least(F.lit(float(i)) - 0.1, value))).otherwise(F.lit(i - 0.5))
 
@@ -230,7 +230,7 @@ def _look_up(wanted: np.ndarray, model: tuple[W.SortedHashes, np.ndarray]) -> np
     """Log-probability of each hash; 0 where this part does not hold it."""
     table, values = model
     at = table.find(wanted)
-    return np.where(at < 0, 0.0, values[at]) if len(values) else np.zeros(len(wanted))
+    return np.where(at < 0, 0.0, values[at].astype(np.float64)) if len(values) else np.zeros(len(wanted))
 
 
 def _measures(piece: W.Slice) -> Iterator[tuple[int, int, int, int, int]]:
@@ -315,11 +315,11 @@ def quality(docs: DataFrame, order: int = ORDER, band: float = BAND, part_grams:
             "logp", F.col("logp") + F.col("_more")).drop("_row", "_more")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = stage_table(scored.withColumns({
-        "surprise": F.when(F.col("n_grams") > 0, -F.col("logp") / F.col("n_grams")), "base_failed": failed}))
+        "surprise": -F.try_divide("logp", "n_grams"), "base_failed": failed}))
     quartiles = (scored.filter("NOT base_failed AND surprise IS NOT NULL").groupBy(F.col("lang").alias("_lang"))
                  .agg(F.percentile_approx("surprise", [0.25, 0.5, 0.75], 10_000).alias("q")))
     spread = F.greatest(F.element_at("q", 3) - F.element_at("q", 1), F.lit(0.02))
-    margin = band * spread + 2 / F.sqrt(F.col("n_grams"))
+    margin = band * spread + F.try_divide(F.lit(2.0), F.sqrt("n_grams"))
     low, high = F.element_at("q", 1) - margin, F.element_at("q", 3) + margin
     out = scored.join(quartiles, F.expr("lang <=> _lang"), "left")
     fits = F.coalesce(F.col("surprise").between(low, high), F.lit(True))

@@ -185,7 +185,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, package_bytes: int) -
                     data, about = _page_record(page_id, url, (html or "").encode("utf-8"), original)
                     archive.write(data)
                     about |= {"offset": str(at), "length": str(len(data)), "filename": "data.warc.gz"}
-                    index.append(f"{url or '-'} {_DATE.translate({ord(c): None for c in '-T:Z'})} {json.dumps(about)}\n")
+                    index.append(f"{url.replace(' ', '%20') or '-'} {_DATE.translate({ord(c): None for c in '-T:Z'})} {json.dumps(about)}\n")
                     at += len(data)
                     row = next(pending, None)
             text = "".join(index).encode()
@@ -223,7 +223,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with store.open_input_file(place) as stream:
                 found = members(stream, store.get_file_info(place).size)
                 archive = found[ARCHIVE]
-                lines = stored(stream, found[INDEX]).decode("utf-8").splitlines()
+                lines = stored(stream, found[INDEX]).decode("utf-8").split("\n")[:-1]
             about = [json.loads(line.split(" ", 2)[2]) for line in lines]
             offsets, lengths = [int(a["offset"]) for a in about], [int(a["length"]) for a in about]
             if archive.method != 0 or any(a + b > archive.size for a, b in zip(offsets, lengths)):
