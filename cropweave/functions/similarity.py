@@ -40,24 +40,6 @@ def indel_score(a: Column | str, b: Column | str) -> Column:
     return F.when((a == "") | (b == ""), F.lit(0)).otherwise(ratio)
 
 
-def indel_score_native(a: Column | str, b: Column | str) -> Column:
-    """Same score without Python: one LCS row per character, folded with ``aggregate``."""
-    a, b = as_col(a), as_col(b)
-    chars_b = F.transform(F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1))), lambda j: F.substring(b, j, F.lit(1)))
-
-    def next_row(row: Column, ch: Column) -> Column:
-        def cell(acc: Column, j: Column) -> Column:
-            diagonal = F.element_at(row, j) + 1
-            best = F.greatest(F.element_at(row, j + 1), F.element_at(acc, -1))
-            return F.array_append(acc, F.when(F.element_at(chars_b, j) == ch, diagonal).otherwise(best))
-        return F.aggregate(F.sequence(F.lit(1), F.size(chars_b)), F.array(F.lit(0)), cell)
-
-    chars_a = F.transform(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: F.substring(a, i, F.lit(1)))
-    last = F.aggregate(chars_a, F.array_repeat(F.lit(0), F.size(chars_b) + 1), next_row)
-    score = F.bround(F.element_at(last, -1) * F.lit(200.0) / F.nullif(F.length(a) + F.length(b), F.lit(0)), 0).cast("int")
-    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(score)
-
-
 def _jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     if a == b:
         return 1.0

@@ -55,8 +55,9 @@ def first_year(columns: Sequence[Column | str]) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """Numeric coercion; null where the text is no number."""
-    return strip(as_col(c).cast("string")).try_cast("double")
+    """Numeric coercion; null where the text is no number, the text NaN included."""
+    number = strip(as_col(c).cast("string")).try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def name_features(c: Column | str) -> Column:

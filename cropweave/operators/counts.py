@@ -134,5 +134,18 @@ def mean_by(df: DataFrame, group: Column | str, value: str, alias: str) -> DataF
 
 def cap_per_group(df: DataFrame, group: str, order: Sequence[str], cap: int) -> DataFrame:
     """At most ``cap`` rows per group, the first ones in the given order."""
-    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return ranked.where(F.col("_n") <= cap).drop("_n")
+    return first_per_group(df, [group], order, cap)
+
+
+def first_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int, salts: int = 64) -> DataFrame:
+    """The first ``n`` rows of each group in the order of ``order``.
+
+    A group is dealt over ``salts`` parts by a hash of the order columns. Each part keeps its first ``n`` rows, and the
+    first ``n`` of the at most ``salts * n`` survivors are the group's, so no task sorts a whole group for any ``n``.
+    """
+    def kept(rows: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("_n", place).where(F.col("_n") <= n).drop("_n")
+
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    return kept(kept(salted, *groups, "_salt").drop("_salt"), *groups)

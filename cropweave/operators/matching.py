@@ -22,12 +22,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropweave.functions.labels import match_confidence, needs_review, review_priority
 from cropweave.functions.similarity import indel_score
 from cropweave.functions.text import compare_key
+from cropweave.operators.counts import first_per_group
 from cropweave.session import stage_table
 
 GRAM_BUCKETS = 8_192
@@ -198,6 +199,4 @@ def review_sample(records: DataFrame, id_column: str, status: str = "match_statu
                   seed: str = "0") -> DataFrame:
     """Up to ``n`` rows per status, chosen by a hash of the id, so a rerun gives the same sample."""
     drawn = F.md5(F.concat_ws("|", F.lit(seed), F.col(id_column).cast("string")).cast("binary"))
-    order = Window.partitionBy(status).orderBy("_draw", id_column)
-    return (records.withColumn("_draw", drawn).withColumn("_rank", F.row_number().over(order))
-            .where(F.col("_rank") <= n).drop("_draw", "_rank"))
+    return first_per_group(records.withColumn("_draw", drawn), [status], ["_draw", id_column], n).drop("_draw")

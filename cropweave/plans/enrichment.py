@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropweave.functions.jsonio import parse_object
 from cropweave.operators import context as ctx
+from cropweave.session import stage_table
 from cropweave.sources.writers import write_json, write_parquet
 
 RESULT_FIELDS = ("title", "author", "year", "journal", "abstract", "url", "snippet", "citations")
@@ -86,7 +87,9 @@ def enrich(varieties: DataFrame, contexts: DataFrame, replies: DataFrame, run_ts
         F.size(results).alias("total_search_queries"),
         F.size(F.filter(results, lambda r: r["error"].isNull())).alias("successful_queries"),
         F.lit(version).alias("processing_version"))
-    analysed = found.join(replies.select("variety_name", "reply_text"), on="variety_name", how="left")
+    # one reply a name: the last in the order of their texts, so two replies do not double a record
+    one = replies.groupBy("variety_name").agg(F.max("reply_text").alias("reply_text"))
+    analysed = found.join(one, on="variety_name", how="left")
     parsed = analysed.withColumn("_parsed", parse_object("reply_text", ANALYSIS_SCHEMA))
     fields = [F.col(f"_parsed.value.{f}").alias(f) for f in ANALYSIS_SCHEMA.fieldNames()]
     return parsed.select(
@@ -96,16 +99,24 @@ def enrich(varieties: DataFrame, contexts: DataFrame, replies: DataFrame, run_ts
         F.lit(run_ts).alias("enrichment_timestamp"))
 
 
-def run_context(varieties: DataFrame, results: DataFrame, out: str, run_ts: str, batch: int = 1,
+def run_context(varieties: DataFrame, results: DataFrame, out: str, run_ts: str, batch: int,
                 fields: Sequence[str] = RESULT_FIELDS) -> DataFrame:
-    """Write the context documents of a batch and its counters; varieties with documents already there are skipped."""
-    spark, folder = varieties.sparkSession, f"{out}/contexts"
-    info = "variety_info struct<variety_name: string, crop_name: string>, batch int"
-    done = spark.read.schema(info).json(folder) if _exists(spark, folder) else spark.createDataFrame([], info)
-    fresh = ctx.not_yet_done(varieties, done.select("variety_info.variety_name"), ["variety_name"])
+    """Add the context documents of a batch and rewrite its counters; returns all documents of the batch.
+
+    Varieties whose names stand in the manifest of finished names (``out/finished``) are skipped, and so are those with
+    a document in this batch, should an earlier run have ended before its manifest entry. A batch only grows.
+    """
+    spark, folder, finished = varieties.sparkSession, f"{out}/contexts", f"{out}/finished"
+    spark.createDataFrame([], "variety_name string").write.mode("append").parquet(finished)
+    done = spark.read.schema("variety_name string").parquet(finished)
+    shape = compile_context(varieties.limit(0), results.limit(0), run_ts, fields).withColumn("batch", F.lit(batch))
+    shape.limit(0).write.mode("append").partitionBy("batch").json(folder)
+    there = spark.read.schema(shape.schema).json(folder).where(F.col("batch") == batch)
+    fresh = stage_table(ctx.not_yet_done(varieties, done.unionByName(there.select("variety_info.variety_name")), ["variety_name"]))
     documents = compile_context(fresh, results, run_ts, fields).withColumn("batch", F.lit(batch))
-    (documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(folder))
-    written = spark.read.schema(documents.schema).json(folder).where(F.col("batch") == batch)
+    documents.write.mode("append").partitionBy("batch").json(folder)
+    fresh.select("variety_name").distinct().write.mode("append").parquet(finished)
+    written = spark.read.schema(shape.schema).json(folder).where(F.col("batch") == batch)
     entries = written.select("variety_info.variety_name", F.explode("search_results").alias("e")).select("variety_name", "e.*")
     write_json(ctx.run_counters(entries, ["variety_name"]).withColumn("batch", F.lit(batch)), f"{out}/counters/batch={batch}")
     return written
@@ -118,8 +129,3 @@ def run_enrichment(varieties: DataFrame, contexts: DataFrame, replies: DataFrame
                                   "variety_name", "_name")
     write_json(missing, f"{out}/without_context/batch={batch}")
     return write_parquet(enrich(varieties, contexts, replies, run_ts), f"{out}/enriched/batch={batch}")
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cropweave.functions.jsonio import is_json_object
 from cropweave.functions.text import document_key
 from cropweave.operators.extract import parse_replies, reply_records, reply_summary
+from cropweave.session import stage_table
 from cropweave.sources.writers import write_json, write_parquet, write_records
 
 
@@ -16,7 +17,11 @@ def extract_records(replies: DataFrame, run_ts: str, document: str = "doc_path",
 
     The key is read from the first record of a reply, so it needs no second pass over the records.
     """
-    parsed = parse_replies(replies, text)
+    return parsed_records(parse_replies(replies, text), run_ts, document)
+
+
+def parsed_records(parsed: DataFrame, run_ts: str, document: str = "doc_path") -> DataFrame:
+    """Records of replies that ``parse_replies`` has read."""
     first = F.get("items", F.lit(0))
     head = F.when(is_json_object(first), F.from_json(F.to_json(first), "meeting_number string, document_date string"))
     stem = F.element_at(F.split(document, "/"), -1)
@@ -29,9 +34,10 @@ def extract_records(replies: DataFrame, run_ts: str, document: str = "doc_path",
 
 def run(replies: DataFrame, out: str, run_ts: str) -> DataFrame:
     """Write the records per document, the failed documents and the batch summary; returns the summary."""
-    write_records(extract_records(replies, run_ts), f"{out}/records", "document_key")
-    parsed = write_parquet(parse_replies(replies).select("doc_path", "status"), f"{out}/status")
-    write_json(parsed.where(F.col("status") == "failed"), f"{out}/failed_documents")
-    summary = reply_summary(parsed.withColumn("items", F.lit(None)))
+    parsed = stage_table(parse_replies(replies).select("doc_path", "items", "status"))
+    write_records(parsed_records(parsed, run_ts), f"{out}/records", "document_key")
+    status = write_parquet(parsed.select("doc_path", "status"), f"{out}/status")
+    write_json(status.where(F.col("status") == "failed"), f"{out}/failed_documents")
+    summary = reply_summary(status)
     write_json(summary, f"{out}/batch_summary")
     return summary

@@ -20,7 +20,7 @@ def prepare_left(df: DataFrame, order: str = "src_pos") -> DataFrame:
     """Approval list with ids (given before rows are dropped, so they may have gaps), keys and year."""
     named = with_sequential_id(df, [order], "csc_raw_id", "CSC_")
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    year = to_number("extracted_year").cast("int") if "extracted_year" in df.columns else first_year(texts)
+    year = to_number("extracted_year").try_cast("int") if "extracted_year" in df.columns else first_year(texts)
     dated = named.withColumn("year_extracted", year)
     return registry_keys(dated, pick_column(df, LEFT_NAMES, "variety"), pick_column(df, LEFT_CROPS, "crop"))
 

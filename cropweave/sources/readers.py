@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cropweave.functions.jsonio import parse_string_array
+from cropweave.functions.jsonio import is_json_object, parse_string_array
 from cropweave.operators.ordering import with_position
 from cropweave.session import stage_table
 
@@ -56,15 +57,34 @@ def read_catalogue_csv(spark: SparkSession, path: str, schema: T.StructType,
 def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(documents, quarantine) from files that hold one JSON document or an array of them.
 
-    Documents carry ``source_path`` and ``source_pos``. A file that is no valid JSON lands in the quarantine with its
-    text instead of failing the run. A file is read by one task, as its array cannot be split.
+    Documents carry ``source_path`` and ``source_pos``. The quarantine (source_path, source_pos, content, reason) takes
+    what is no document: files that are no valid JSON or neither object nor array (``source_pos`` null, the whole text),
+    array elements that are no objects, and objects with a field of another type than the schema's. A file is read by
+    one task, as its array cannot be split; a file of no bytes has nothing to report.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("source_path"), F.col("value").alias("content"))
-    valid = F.json_array_length("content").isNotNull() | F.json_object_keys("content").isNotNull()
-    parsed = files.where(valid).select("source_path", F.from_json("content", T.ArrayType(schema)).alias("documents"))
-    documents = parsed.select("source_path", F.posexplode("documents").alias("source_pos", "document"))
-    return documents.select("document.*", "source_path", "source_pos"), files.where(~valid)
+    parsed = files.withColumn("_json", F.try_parse_json("content"))
+    many = F.coalesce(F.schema_of_variant("_json").startswith("ARRAY"), F.lit(False))
+    usable = many | is_json_object(F.col("_json"))
+    elements = F.when(many, F.expr("try_variant_get(_json, '$', 'array<variant>')")).otherwise(F.array("_json"))
+    each = parsed.where(usable).select("source_path", F.posexplode(elements).alias("source_pos", "_element"))
+    typed = each.select("source_path", "source_pos", F.to_json("_element").alias("content"),
+                        is_json_object(F.col("_element")).alias("_object"),
+                        F.when(is_json_object(F.col("_element")), F.from_json(F.to_json("_element"), schema)).alias("document"),
+                        F.expr("try_variant_get(_element, '$', 'map<string, variant>')").alias("_fields"))
+    lost = F.lit(False)
+    for field in schema.fieldNames():
+        given = F.col("_fields")[field]
+        lost = lost | F.coalesce(F.col("document")[field].isNull() & given.isNotNull() & ~F.is_variant_null(given), F.lit(False))
+    reason = F.when(~F.col("_object"), "element is no object").when(lost, "field of another type")
+    judged = typed.withColumn("reason", reason)
+    refused = judged.where(F.col("reason").isNotNull()).select("source_path", "source_pos", "content", "reason")
+    broken = parsed.where(~usable | usable.isNull()).select(
+        "source_path", F.lit(None).cast("int").alias("source_pos"), "content",
+        F.when(F.col("_json").isNull(), "no valid JSON").otherwise("neither object nor array").alias("reason"))
+    documents = judged.where(F.col("reason").isNull()).select("document.*", "source_path", "source_pos")
+    return documents, refused.unionByName(broken)
 
 
 def read_final(spark: SparkSession, table: str | None, csv_path: str | None, schema: T.StructType) -> DataFrame:
@@ -72,15 +92,17 @@ def read_final(spark: SparkSession, table: str | None, csv_path: str | None, sch
     if table and spark.catalog.tableExists(table):
         return spark.table(table)
     if csv_path:
-        path = spark._jvm.org.apache.hadoop.fs.Path(csv_path)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        try:
             return read_catalogue_csv(spark, csv_path, schema)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     arrays = [T.StructField(f.name, T.ArrayType(T.StringType())) if f.name in ARRAY_COLUMNS else f for f in schema.fields]
     return spark.createDataFrame([], T.StructType(arrays))
 
 
 def list_documents(spark: SparkSession, folder: str, suffix: str = "pdf", limit_bytes: int = OVERSIZE_BYTES) -> DataFrame:
-    """Documents of a folder by case-insensitive suffix: path, length, modification time, oversize flag.
+    """Documents of a folder by case-insensitive suffix, in order of their names: path, length, time, oversize flag.
 
     File contents are never read: the content column is pruned.
     """
@@ -88,4 +110,4 @@ def list_documents(spark: SparkSession, folder: str, suffix: str = "pdf", limit_
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     return (files.select("path", "length", "modificationTime")
             .withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-            .withColumn("oversize", F.col("length") > limit_bytes))
+            .withColumn("oversize", F.col("length") > limit_bytes).orderBy("file_name", "path"))

@@ -17,13 +17,18 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False, partition_by: S
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
+RECORD_BUCKETS = 64
+
+
 def write_records(records: DataFrame, path: str, document_key: str) -> None:
-    """Extraction records, every cell quoted, one folder per document key.
+    """Extraction records, every cell quoted, in RECORD_BUCKETS folders by a hash of the document key.
 
-    Rows are spread by record position too, so one huge document is still written by several tasks.
+    The key is a column of the files, and the bucket of a key follows from it, so one document is found by reading one
+    folder. Rows are spread by record position too, so one huge document is still written by several tasks.
     """
-    spread = records.repartition(F.col(document_key), F.pmod(F.floor(F.col("record_pos") / 100_000), F.lit(64)))
-    write_csv(spread, path, quote_all=True, partition_by=[document_key])
+    bucketed = records.withColumn("bucket", F.pmod(F.xxhash64(document_key), F.lit(RECORD_BUCKETS)).cast("int"))
+    spread = bucketed.repartition(F.col("bucket"), F.floor(F.col("record_pos") / 100_000))
+    write_csv(spread.sortWithinPartitions("bucket", document_key, "record_pos"), path, quote_all=True, partition_by=["bucket"])
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -105,6 +105,27 @@ def test_batches_skip_finished_varieties(spark, tmp_path):
     assert spark.read.json(f"{out}/without_context/batch=1").first().variety_name == "other"
 
 
+def test_a_batch_run_again_keeps_what_it_has(spark, tmp_path):
+    out = str(tmp_path)
+    frame = lambda *names: spark.createDataFrame([(n, "rice") for n in names], "variety_name string, crop_name string")
+    enrichment.run_context(frame("v1", "v2"), results(spark), out, TS, 1, ("title", "year"))
+    again = enrichment.run_context(frame("v1", "v2", "v3", "v3"), results(spark), out, TS, 1, ("title", "year"))
+    assert sorted(r.variety_info.variety_name for r in again.collect()) == ["v1", "v2", "v3"]
+    counters = spark.read.json(f"{out}/counters/batch=1").first()
+    assert (counters.varieties_processed, counters.total_search_queries) == (3, 90)
+    # a run that ended between its documents and its manifest entry
+    spark.createDataFrame([], "variety_name string").write.mode("overwrite").parquet(f"{out}/finished")
+    assert enrichment.run_context(frame("v1"), results(spark), out, TS, 1, ("title", "year")).count() == 3
+
+
+def test_one_reply_a_name(spark, contexts):
+    varieties = spark.createDataFrame([("V1", "rice")], "variety_name string, crop_type string")
+    replies = spark.createDataFrame([("V1", "{}"), ("V1", "no")], "variety_name string, reply_text string")
+    from pyspark.sql import functions as F
+
+    assert enrichment.enrich(varieties, contexts.withColumn("source_path", F.lit("x")), replies, TS).count() == 1
+
+
 def test_payload_is_json(spark, contexts):
     from pyspark.sql import functions as F
 

@@ -121,3 +121,13 @@ def test_no_nested_loop_join(spark):
                                  left.select(F.lit("block").alias("scope"), F.col("c").alias("block"), F.col("n").alias("key")))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_bad_year_cells_are_null(spark):
+    from cropweave.plans.registries import prepare_left
+
+    cells = ["NaN", "1e12", "text", " 2015 ", None, "2016.0"]
+    df = spark.createDataFrame([(i, f"name {i}", "rice", c) for i, c in enumerate(cells)],
+                               "src_pos long, variety_name string, crop string, extracted_year string")
+    rows = prepare_left(df).orderBy("csc_raw_id").collect()
+    assert [r.year_extracted for r in rows] == [None, None, None, 2015, None, 2016]

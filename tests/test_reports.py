@@ -5,6 +5,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from cropweave.operators import counts, stats
 from cropweave.plans import reports
 
@@ -157,6 +159,9 @@ def test_profile(spark):
 
 def test_cap_per_group(spark):
     df = spark.createDataFrame([(i, "hot" if i % 3 else "cold") for i in range(90)], "i int, g string")
+    wide = spark.range(20_000).selectExpr("id % 2 AS g", "id AS i")
+    some = counts.cap_per_group(wide, "g", ["i"], 5000)
+    assert some.groupBy("g").agg(F.count("*").alias("n"), F.max("i").alias("m")).orderBy("g").collect() == [(0, 5000, 9998), (1, 5000, 9999)]
     capped = counts.cap_per_group(df, "g", ["i"], 5)
     assert sorted(r.i for r in capped.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9, 12]
     assert "WindowGroupLimit" in capped._jdf.queryExecution().executedPlan().toString()

@@ -46,15 +46,24 @@ def test_json_documents_and_quarantine(spark, tmp_path):
     good, bad = readers.read_json_documents(spark, f"{tmp_path}/*.json", T.StructType([T.StructField("n", T.IntegerType())]))
     assert sorted((r.n, r.source_pos, r.source_path[-6:]) for r in good.collect()) == [
         (1, 0, "a.json"), (2, 1, "a.json"), (4, 0, "c.json")]
-    assert bad.count() == 1
-    assert [r.source_path.rsplit("/", 1)[1] for r in bad.collect()] == ["b.json"]
+    assert [(r.source_path.rsplit("/", 1)[1], r.reason) for r in bad.collect()] == [("b.json", "no valid JSON")]
+
+
+def test_every_json_element_goes_somewhere(spark, tmp_path):
+    for name, text in {"a": '[1, {"n": 1}]', "b": '[[{"n": 2}]]', "c": '[{"n": "x"}, {"n": null}, {"z": 1}, null]', "d": '"text"', "e": " "}.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    good, bad = readers.read_json_documents(spark, f"{tmp_path}/*.json", T.StructType([T.StructField("n", T.IntegerType())]))
+    assert sorted((r.source_path[-6], r.source_pos, r.n) for r in good.collect()) == [("a", 1, 1), ("c", 1, None), ("c", 2, None)]
+    assert sorted((r.source_path[-6], -1 if r.source_pos is None else r.source_pos, r.reason) for r in bad.collect()) == [
+        ("a", 0, "element is no object"), ("b", 0, "element is no object"), ("c", 0, "field of another type"),
+        ("c", 3, "element is no object"), ("d", -1, "neither object nor array"), ("e", -1, "no valid JSON")]
 
 
 def test_document_listing(spark, tmp_path):
     for name, size in (("b.PDF", 10), ("a.pdf", 2000), ("c.txt", 5)):
         (tmp_path / name).write_bytes(b"x" * size)
     files = readers.list_documents(spark, str(tmp_path), limit_bytes=1000)
-    assert [(r.file_name, r.length, r.oversize) for r in files.orderBy("file_name").collect()] == [("a.pdf", 2000, True), ("b.PDF", 10, False)]
+    assert [(r.file_name, r.length, r.oversize) for r in files.collect()] == [("a.pdf", 2000, True), ("b.PDF", 10, False)]
     assert "content" not in files._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 
@@ -80,14 +89,16 @@ def test_refresh_processes_each_document_once(spark, tmp_path):
 
     def go():
         refresh(spark, folder, schema, str(tmp_path / "manifest"), str(tmp_path / "cp"), ["doc"],
-                lambda df: df.write.mode("append").parquet(out)).awaitTermination(120)
+                lambda df: df.write.mode("append").parquet(out), str(tmp_path / "aside")).awaitTermination(120)
         return sorted(r.doc for r in spark.read.schema(schema).parquet(out).collect())
 
     spark.createDataFrame([("a", "1"), ("b", "2")], schema).write.mode("append").parquet(folder)
     assert go() == ["a", "b"]
-    spark.createDataFrame([("b", "again"), ("c", "3"), ("c", "3")], schema).write.mode("append").parquet(folder)
+    spark.createDataFrame([("b", "again"), ("c", "3"), ("c", "3"), ("c", "4"), (None, "5")], schema).write.mode("append").parquet(folder)
     assert go() == ["a", "b", "c"]
     assert spark.read.parquet(str(tmp_path / "manifest")).agg(F.count("*")).first()[0] == 3
+    aside = spark.read.parquet(str(tmp_path / "aside")).collect()
+    assert sorted((r.doc or "", r.reason) for r in aside) == [("", "null in the key"), ("c", "key shared with another row")]
 
 
 def test_schema_document(spark):
