@@ -20,7 +20,11 @@ from tokenizers import Tokenizer
 from cropweave.llm import words as W
 
 #: Pieces a worker remembers; beyond it starts anew. Bounds its memory to some 100 MB.
-MEMORY = 2_000_000
+MEMORY = 1_500_000
+#: New pieces are kept in a small table, which is merged into the large one when it has so many.
+RECENT = 1 << 16
+#: Bytes of text that arrays are made for at once.
+SLICE = 1 << 20
 _LETTER, _NUMBER, _SPACE, _SIGN, _UNSURE = range(5)
 _TABLES: dict[bool, tuple[np.ndarray, np.ndarray]] = {}
 _ENCODERS: dict[int, Encoder] = {}
@@ -58,12 +62,18 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         parts = json.loads(spec)
         # the tokenizer with word ends lower-cases, drops white space and cuts numbers into digits
-        self.words = bool(parts["model"].get("end_of_word_suffix"))
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.words = bool(suffix)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.table, self.slots = W.SortedHashes(np.zeros(0, np.uint64)), np.zeros(0, np.int64)
-        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.size = self.used = 0
+        self.starts, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
+        self.tables = [(W.SortedHashes(np.zeros(0, np.uint64)), np.zeros(0, np.int64))] * 2
 
     def _pieces(self, kinds: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each piece, in code points."""
@@ -109,31 +119,77 @@ class Encoder:
             starts, ends = starts[kept], ends[kept]
         return starts, ends
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        """Encode new pieces. Those without line breaks go in one text of lines, whose break has an id of its own."""
+    def _ids(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has, by one text in which a mark parts the pieces.
+
+        The mark is a blank where words have their ends in their tokens, and else a line break, whose id no piece has
+        that does not end in white space.
+        """
+        bounds = np.concatenate(([0], np.cumsum(sizes + 1)))
+        text = np.full(int(bounds[-1]), 32 if self.words else 10, np.uint32)
+        inside = np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)
+        text[inside] = codes[np.arange(int(sizes.sum())) + np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)]
         encode = self.tokenizer.encode
-        lists: list = [None] * len(texts)
+        ids = np.array(encode(text.tobytes().decode("utf-32-le"), add_special_tokens=False).ids, np.uint32)
         if self.words:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            counts = np.diff(ends, prepend=0)
         else:
-            plain = [i for i, t in enumerate(texts) if not t[-1].isspace()]
-            mark = encode("\n", add_special_tokens=False).ids
-            if plain and len(mark) == 1:
-                ids = np.array(encode("\n".join(texts[i] for i in plain), add_special_tokens=False).ids, np.uint32)
-                cuts = np.flatnonzero(ids == mark[0])
-                if len(cuts) == len(plain) - 1:
-                    for i, part in zip(plain, np.split(ids, cuts)):
-                        lists[i] = part[1:] if i != plain[0] else part
-            for i, t in enumerate(texts):
-                if lists[i] is None:
-                    lists[i] = encode(t, add_special_tokens=False).ids
-        slots = len(self.starts) - 1 + np.arange(len(texts))
-        sizes = np.array([len(x) for x in lists], np.int64)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, *(np.asarray(x, np.uint32) for x in lists)]).astype(np.uint32)
-        where = np.searchsorted(self.table.keys, keys)
-        self.slots = np.insert(self.slots, where, slots)
-        self.table = W.SortedHashes(np.insert(self.table.keys, where, keys))
+            mark = ids[-1:]
+            ends = np.flatnonzero(ids == mark)
+            counts = np.diff(ends, prepend=-1) - 1
+            ids = ids[ids != mark]
+        if len(counts) != len(sizes) or int(counts.sum()) != len(ids):  # not as expected: one by one
+            lists = [encode(codes[a:a + n].tobytes().decode("utf-32-le"), add_special_tokens=False).ids
+                     for a, n in zip(starts.tolist(), sizes.tolist())]
+            counts = np.array([len(x) for x in lists], np.int64)
+            ids = np.array([i for x in lists for i in x], np.uint32)
+        return ids, counts
+
+    def _learn(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, blank: np.ndarray) -> None:
+        """Encode new pieces, given by ascending keys, and keep their ids. ``blank`` tells white space."""
+        order = np.argsort(blank, kind="stable") if not self.words else np.arange(len(keys))
+        plain = len(order) - int(blank.sum()) if not self.words else len(order)
+        keys, starts, sizes = keys[order], starts[order], (ends - starts)[order]
+        parts = [self._ids(codes, starts[:plain], sizes[:plain])] if plain else []
+        for a, n in zip(starts[plain:].tolist(), sizes[plain:].tolist()):
+            ids = np.array(self.tokenizer.encode(codes[a:a + n].tobytes().decode("utf-32-le"), add_special_tokens=False).ids,
+                           np.uint32)
+            parts.append((ids, np.array([len(ids)])))
+        ids, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        while self.size + len(keys) + 1 > len(self.starts):
+            self.starts = np.append(self.starts, np.zeros_like(self.starts))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.starts[self.size:self.size + len(keys) + 1] = self.used + np.concatenate(([0], np.cumsum(counts)))
+        slots = np.arange(self.size, self.size + len(keys))
+        self.size, self.used = self.size + len(keys), self.used + len(ids)
+        by = np.argsort(keys)
+        large, small = self.tables
+        small = self._merged(small, keys[by], slots[by])
+        if len(small[1]) > max(RECENT, len(large[1]) // 8):
+            large, small = self._merged(large, small[0].keys, small[1]), self._merged(None, keys[:0], slots[:0])
+        self.tables = [large, small]
+
+    @staticmethod
+    def _merged(table: tuple | None, keys: np.ndarray, slots: np.ndarray) -> tuple[W.SortedHashes, np.ndarray]:
+        if table is None:
+            return W.SortedHashes(keys), slots
+        where = np.searchsorted(table[0].keys, keys)
+        return W.SortedHashes(np.insert(table[0].keys, where, keys)), np.insert(table[1], where, slots)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where the ids of each piece are kept, -1 for new ones."""
+        (large, slots), (small, more) = self.tables
+        at = large.find(keys)
+        out = slots[at] if len(slots) else at
+        out[at < 0] = -1
+        missing = np.flatnonzero(at < 0)
+        if len(missing) and len(more):
+            at = small.find(keys[missing])
+            out[missing[at >= 0]] = more[at[at >= 0]]
+        return out
 
     def encode(self, piece: W.Slice) -> Iterator[np.ndarray]:
         """Ids of each text of a slice."""
@@ -156,17 +212,15 @@ class Encoder:
         if whole.any():
             kept = ~whole[text]
             starts, ends, keys, text = starts[kept], ends[kept], keys[kept], text[kept]
-        if len(self.slots) > MEMORY:
+        if self.size > MEMORY:
             self.forget()
-        place = self.table.find(keys)
-        missing = np.flatnonzero(place < 0)
+        slot = self._slots(keys)
+        missing = np.flatnonzero(slot < 0)
         if len(missing):
             new, at = np.unique(keys[missing], return_index=True)
             at = missing[at]
-            self._learn(new, [codes[a:b].tobytes().decode("utf-32-le")
-                              for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-            place = self.table.find(keys)
-        slot = self.slots[place]
+            self._learn(new, codes, starts[at], ends[at], kinds[ends[at] - 1] == _SPACE)
+            slot = self._slots(keys)
         first, sizes = self.starts[slot], self.starts[slot + 1] - self.starts[slot]
         offsets = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.flat[np.arange(int(offsets[-1])) + np.repeat(first - offsets[:-1], sizes)]
@@ -190,5 +244,5 @@ def encoder(spec: str) -> Encoder:
 def encoded(column: pa.Array, spec: str) -> Iterator[np.ndarray]:
     """Ids of every text of a column, in order; null texts have none."""
     worker = encoder(spec)
-    for piece in W.slices(column):
+    for piece in W.slices(column, SLICE):
         yield from worker.encode(piece)

@@ -26,7 +26,7 @@ from cropweave.session import stage_table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-SHARD_TOKENS = 1 << 23
+SHARD_TOKENS = 1 << 22
 BLOCK = 1 << 16
 
 _MAGIC = b"WVM1"

@@ -154,17 +154,18 @@ class SortedHashes:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys
-        bits = min(22, max(8, int(len(keys)).bit_length() + 1))
+        bits = min(22, max(8, int(len(keys)).bit_length()))
         self.shift = np.uint64(64 - bits)
-        steps = np.arange(1 << bits, dtype=np.uint64) << self.shift
-        self.heads = np.searchsorted(keys, steps).astype(np.int64)
+        sizes = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.heads = np.zeros(1 << bits, np.int32)
+        np.cumsum(sizes[:-1], out=self.heads[1:])
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Place of each hash, -1 where it is missing."""
         n = len(self.keys)
         if not n:
             return np.full(len(wanted), -1, np.int64)
-        at = self.heads[(wanted >> self.shift).astype(np.int64)]
+        at = self.heads[(wanted >> self.shift).astype(np.int64)].astype(np.int64)
         behind = np.flatnonzero(at < n)
         behind = behind[self.keys[at[behind]] < wanted[behind]]
         while len(behind):  # hashes spread evenly, so few share a beginning

@@ -70,6 +70,7 @@ def test_tokens_equal_those_of_the_library(name):
 
 def test_tokens_after_the_memory_is_full(monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY", 3)
+    monkeypatch.setattr(tokens, "RECENT", 2)
     spec = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
     plain = Tokenizer.from_str(spec)
     worker = tokens.Encoder(spec)
