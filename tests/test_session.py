@@ -24,3 +24,17 @@ def test_staged_table_keeps_rows_and_types(spark):
     assert staged.collect() == df.collect()
     assert [f.dataType.simpleString() for f in staged.schema.fields] == [f.dataType.simpleString() for f in df.schema.fields]
     assert "parquet" in staged._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_collected_stages_are_removed(spark, tmp_path):
+    from cropweave.session import collected_stages, remove_stages
+
+    outer = stage_table(spark.range(3))
+    with collected_stages() as made:
+        inner = stage_table(spark.range(5))
+        assert inner.count() == 5
+    assert len(made) == 1
+    remove_stages([*made, "unknown://x/y", str(tmp_path / "none")])
+    with pytest.raises(Exception):
+        spark.read.parquet(made[0])
+    assert outer.count() == 3
