@@ -195,8 +195,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, k: int = GRAM, window: in
     """The rows of ``docs`` without any hit, with all their columns."""
     _, hits = contaminated_spans(docs, items, k, window)
     row = F.xxhash64(docs["doc_id"], docs["text"])
-    # the hits grow with the documents, so they are never broadcast
-    gone = hits.select(F.col("row").alias("_row")).distinct().hint("merge")
+    gone = hits.select(F.col("row").alias("_row")).distinct()
     return docs.join(gone, row == F.col("_row"), "left_anti")
 
 
