@@ -9,8 +9,8 @@ has none, and keeps the best one at or above the threshold. The plan never pairs
    score of T needs LCS >= t*S for S = len a + len b; each deleted letter breaks at most two letter pairs and each
    inserted one at most one, so at least 3*LCS - S + 1 pairs survive in both keys, and two keys that share that
    many must share one among the first (pairs - that + 1) of any common order. Rarest first keeps groups small.
-   A signature shared by very many keys is split into a grid of cells, left keys by row and right keys by column, so
-   no task gets all its pairs;
+   A signature that very many keys of one block share is split into a grid of cells, left keys by row and right keys
+   by column, so no task gets all its pairs;
 4. native ``levenshtein`` with a per-pair limit drops most candidates, the exact score decides the rest;
 5. an aggregate keeps the best right row per left key.
 
@@ -80,25 +80,35 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> Dat
     t = (threshold - 0.5) / 200
     frequency = _gram_frequency(left.unionByName(right), t)
 
-    def signed(df: DataFrame, key_name: str, own_split: str, other_split: str) -> DataFrame:
-        """One row per signature; a signature of many keys is split into a grid of (left, right) cells."""
+    def signed(df: DataFrame, key_name: str) -> DataFrame:
         signatures = _prefix_signatures(F.col("key"), F.col("frequency"), t)
-        rows = (df.withColumn("frequency", frequency.scalar())
-                .select("scope", "block", F.col("key").alias(key_name), F.explode(signatures).alias("signature")))
-        # A code starts with the number of keys that hold its gram.
-        splits = (F.floor(F.col("signature") / F.lit(GRAM_BUCKETS * CELL_KEYS)) + 1).cast("int")
-        return rows.select("*", F.pmod(F.xxhash64(key_name), splits).cast("int").alias(own_split),
-                           F.explode(F.sequence(F.lit(0), splits - 1)).alias(other_split))
-
-    a = signed(left, "left_key", "left_split", "right_split").alias("a")
-    b = signed(right, "right_key", "right_split", "left_split").alias("b")
+        return stage_table(df.withColumn("frequency", frequency.scalar())
+                           .select("scope", "block", F.col("key").alias(key_name), F.explode(signatures).alias("signature")))
+
+    a, b = signed(left, "left_key"), signed(right, "right_key")
+    group = ("scope", "block", "signature")
+    # signatures that many keys of one block share, counted within the block; there are few of them, often none
+    sizes = [df.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CELL_KEYS) for df in (a, b)]
+    crowded = stage_table(sizes[0].unionByName(sizes[1]).groupBy(*group).agg(
+        (F.floor(F.max("n") / F.lit(CELL_KEYS)) + 1).cast("int").alias("splits")))
+    if not crowded.isEmpty():
+        def celled(df: DataFrame, key_name: str, own: str, other: str) -> DataFrame:
+            """A grid of (left, right) cells for a crowded signature, one cell for the others."""
+            known = df.alias("a").join(crowded.alias("b"), _same(*group), "left").select(
+                "a.*", F.coalesce("b.splits", F.lit(1)).alias("splits"))
+            return known.select("*", F.pmod(F.xxhash64(key_name), F.col("splits")).cast("int").alias(own),
+                                F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias(other)).drop("splits")
+
+        a, b = celled(a, "left_key", "left_split", "right_split"), celled(b, "right_key", "right_split", "left_split")
+        group = (*group, "left_split", "right_split")
+    a, b = a.alias("a"), b.alias("b")
     total = F.length("left_key") + F.length("right_key")
     least_lcs = F.ceil(total * F.lit(t) - F.lit(1e-9))
     limit = F.greatest(total - 2 * least_lcs, F.lit(0)).cast("int")
     near = F.call_function("levenshtein", F.col("left_key"), F.col("right_key"), limit) >= 0
     lengths_fit = F.least(F.length("left_key"), F.length("right_key")) >= least_lcs
     candidates = (
-        a.join(b, _same("scope", "block", "signature", "left_split", "right_split") & lengths_fit)
+        a.join(b, _same(*group) & lengths_fit)
         .where(near)
         .select("a.scope", "a.block", "left_key", "right_key").distinct())
     return (candidates.withColumn("score", indel_score("left_key", "right_key"))
