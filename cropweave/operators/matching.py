@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropweave.functions.labels import match_confidence, needs_review, review_priority
-from cropweave.functions.similarity import indel_score
+from cropweave.functions.similarity import indel_score, tokens_agree
 from cropweave.functions.text import compare_key
 from cropweave.operators.counts import first_per_group
 from cropweave.session import stage_table
@@ -171,8 +171,11 @@ def best_matches(left: DataFrame, right: DataFrame, *, left_name: str, left_bloc
                          F.coalesce("won.score", F.lit(0)).alias("score"), F.col("won.best.row").alias("match"))
 
 
-def match_records(matched: DataFrame) -> DataFrame:
-    """Fixed 14-column match record from ``best_matches`` over two keyed registries."""
+def match_records(matched: DataFrame, left_institution: str | None = None, right_institution: str | None = None) -> DataFrame:
+    """Fixed 14-column match record from ``best_matches`` over two keyed registries.
+
+    Where both sides name an institution column, ``institution_agrees`` is added, null for unmatched rows.
+    """
     status = F.when(F.col("match").isNotNull(), F.lit("MATCHED")).otherwise(F.lit("UNMATCHED"))
     base = matched.withColumn("match_status", status)
     theirs = [F.col(f"match.{c}").alias(f"seednet_{c}")
@@ -182,7 +185,9 @@ def match_records(matched: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"csc_{c}") for c in ("variety_original", "variety_clean", "crop_original", "crop_clean")],
         F.col("year_extracted").alias("csc_year"), "match_status", F.col("score").alias("similarity_score"),
         match_confidence("score").alias("match_confidence"), *theirs,
-        needs_review("match_status", "score").alias("manual_review_needed"))
+        needs_review("match_status", "score").alias("manual_review_needed"),
+        *([F.when(F.col("match").isNotNull(), tokens_agree(left_institution, f"match.{right_institution}"))
+           .alias("institution_agrees")] if left_institution and right_institution else []))
 
 
 def final_records(records: DataFrame, run_ts: str) -> DataFrame:

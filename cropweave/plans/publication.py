@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cropweave.functions.jsonio import path_column
 from cropweave.functions.text import UNKNOWN, name_features, strip, title_case
 from cropweave.operators import duplicates
-from cropweave.operators.columns import project_paths, resolves, trim_strings
+from cropweave.operators.columns import missing_paths, project_paths, resolves, trim_strings
 from cropweave.operators.ordering import with_position, with_sequential_id
 from cropweave.operators.quality import orphans
 from cropweave.operators.stats import column_profile
@@ -53,6 +53,11 @@ STRESS_TYPES = ("drought_tolerance", "heat_tolerance", "salinity_tolerance", "fl
 KEY_FIELDS = ("variety_name", "crop_type", "approval_status")
 
 
+# The columns that identify a variety.
+ESSENTIAL = ("original_data.variety_name", "original_data.crop_type", "original_data.approval_status",
+             "analysis_result.variety_identification.variety_name")
+
+
 def _name_path(df: DataFrame) -> str:
     return next((p for p in (*ANALYSIS, "original_data.variety_name") if resolves(df, p)), "original_data.variety_name")
 
@@ -107,6 +112,8 @@ def synthesis_summary(input_files: DataFrame, initial: DataFrame, final: DataFra
 def run(enriched: DataFrame, out: str, run_ts: str, position: str = "src_pos", features_from: str = "raw") -> DataFrame:
     """Profile, classify, consolidate, publish and report; each stage is written once and read back."""
     write_csv(column_profile(enriched), f"{out}/initial_data_profile")
+    lacking = [(path,) for path in missing_paths(enriched, ESSENTIAL)]
+    write_json(enriched.sparkSession.createDataFrame(lacking, "missing_column string"), f"{out}/missing_columns")
     analyzed = write_parquet(classify(enriched, position, features_from), f"{out}/classified")
     totals = duplicates.duplicate_totals(analyzed)
     write_json(totals, f"{out}/duplicates_analysis")

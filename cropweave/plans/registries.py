@@ -13,6 +13,7 @@ from cropweave.operators.ordering import with_sequential_id
 from cropweave.sources.writers import snapshot, write_csv, write_json, write_parquet
 
 LEFT_NAMES, LEFT_CROPS = ("variety_standardized", "crop_variety", "variety_name"), ("crop_standardized", "crop", "crop_type")
+INSTITUTIONS = ("breeding_institution", "institution", "institution_name", "sponsoring_institution")
 RIGHT_NAMES, RIGHT_CROPS = ("variety_name", "variety", "name"), ("crop_name", "crop", "crop_type")
 
 
@@ -31,13 +32,17 @@ def prepare_right(df: DataFrame) -> DataFrame:
 
 def match_registries(left: DataFrame, right: DataFrame, run_ts: str, threshold: int = 80,
                      order: str = "src_pos") -> DataFrame:
-    """Every approval-list row with its best portal row, confidence, review flags and audit columns."""
-    names = ["variety_original", "variety_clean", "crop_original", "crop_clean", order]
+    """Every approval-list row with its best portal row, confidence, review flags and audit columns.
+
+    Where both registries have an institution column, the records tell whether the two agree.
+    """
+    mine, theirs = (next((c for c in INSTITUTIONS if c in df.columns), None) for df in (left, right))
+    names = ["variety_original", "variety_clean", "crop_original", "crop_clean", order, *([theirs] if theirs else [])]
     rights = prepare_right(right).select(*names)
     matched = matching.best_matches(
         prepare_left(left, order), rights, left_name="variety_clean", left_block="crop_clean",
         right_name="variety_clean", right_block="crop_clean", right_order=[order], threshold=threshold)
-    return matching.final_records(matching.match_records(matched), run_ts)
+    return matching.final_records(matching.match_records(matched, mine, theirs), run_ts)
 
 
 def run(left: DataFrame, right: DataFrame, out: str, run_ts: str, threshold: int = 80, sample: int = 100) -> DataFrame:

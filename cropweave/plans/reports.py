@@ -31,7 +31,7 @@ def profile_catalogue(df: DataFrame) -> dict[str, DataFrame]:
     matrix = stats.correlations(df, number)
     years = counts.value_counts(df, "year_of_release")
     return {
-        "missing": stats.missing_stats(df),
+        "missing": stats.missing_stats(df).orderBy(F.desc("missing_count"), "column_name"),
         "describe": stats.describe(df, number),
         "quality_flags": counts.value_counts(df, "quality_flag"),
         "confidence_levels": counts.value_counts(df, "confidence_level"),
@@ -58,8 +58,8 @@ def profile_catalogue(df: DataFrame) -> dict[str, DataFrame]:
         "multi_trait": multi_trait(df),
         "correlations": matrix,
         "strong_pairs": stats.strong_pairs(matrix),
-        "completeness_by_source": counts.mean_by(sources, "source", "data_completeness_score", "source"),
-        "completeness_by_crop": counts.mean_by(df, "crop_type", "data_completeness_score", "crop_type"),
+        "completeness_by_source": counts.top_k(counts.mean_by(sources, "source", "data_completeness_score", "source"), 10, "mean"),
+        "completeness_by_crop": counts.mean_by(df, "crop_type", "data_completeness_score", "crop_type").orderBy(F.desc("mean"), "crop_type"),
         "usual_range": usual_range(df),
         "summary": kpis.summary_kpis(df),
     }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropweave.functions.jsonio import array_size
 from cropweave.operators import counts, kpis, stats
+from cropweave.plans import reports
 from cropweave.session import stage_table
 from cropweave.sources.readers import read_table, spread
 from cropweave.workload.registry import query
@@ -228,16 +228,33 @@ def mean_by_group(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(counts.mean_by(read_table(spark, d, "part"), "p_type", "p_retailprice", "p_type"), "mean")
 
 
-@query("multi_trait", f"WITH w AS ({_WORDS_SQL}) SELECT doc_id, len(words) AS size, list_reduce(list_sort(words), lambda a, b: a || ', ' || b) AS traits FROM w WHERE len(words) >= 3")
+@query("multi_trait", f"WITH w AS ({_WORDS_SQL}) SELECT doc_id AS variety_name, lang AS crop_type, list_reduce(list_sort(words), lambda a, b: a || ', ' || b) AS traits FROM w WHERE len(words) >= 3")
 def multi_trait(spark: SparkSession, d: str) -> DataFrame:
-    rich = worded(spark, d).where(array_size("words") >= 3)
-    return rich.select("doc_id", F.size("words").alias("size"), F.array_join(F.array_sort("words"), ", ").alias("traits"))
+    return reports.multi_trait(worded(spark, d).select(
+        F.col("doc_id").alias("variety_name"), F.col("lang").alias("crop_type"),
+        F.array_sort("words").alias("stressors_tolerated")))
 
 
-@query("usual_range", "SELECT p_partkey, p_size FROM part WHERE p_size < 30 AND p_retailprice > 950")
+@query("usual_range", "SELECT p_partkey, CAST(p_retailprice / 5 AS INTEGER) AS maturity_days, 1960 + p_size AS year_of_release FROM part "
+                      "WHERE CAST(p_retailprice / 5 AS INTEGER) < 300 AND 1960 + p_size > 1990")
 def usual_range(spark: SparkSession, d: str) -> DataFrame:
     """Outlier filter; nulls drop out."""
-    return read_table(spark, d, "part").where((F.col("p_size") < 30) & (F.col("p_retailprice") > 950)).select("p_partkey", "p_size")
+    return reports.usual_range(read_table(spark, d, "part").select(
+        "p_partkey", F.round(F.col("p_retailprice") / 5).cast("int").alias("maturity_days"),
+        (1960 + F.col("p_size")).alias("year_of_release")))
+
+
+@query("missing_report", """
+WITH w AS (SELECT doc_id, nullif(source, 'src0') AS source, nullif(lang, 'en') AS lang, CASE WHEN n_chars > 500 THEN n_chars END AS n_chars FROM documents),
+m AS (SELECT count(*) AS n, count(*) - count(source) AS s, count(*) - count(lang) AS l, count(*) - count(n_chars) AS c FROM w)
+SELECT 'source' AS column_name, s AS missing_count, round(100.0 * s / n, 6) AS missing_percentage FROM m WHERE s > 0
+UNION ALL SELECT 'lang', l, round(100.0 * l / n, 6) FROM m WHERE l > 0
+UNION ALL SELECT 'n_chars', c, round(100.0 * c / n, 6) FROM m WHERE c > 0""")
+def missing_report(spark: SparkSession, d: str) -> DataFrame:
+    holes = read_table(spark, d, "documents").select(
+        "doc_id", F.nullif("source", F.lit("src0")).alias("source"), F.nullif("lang", F.lit("en")).alias("lang"),
+        F.when(F.col("n_chars") > 500, F.col("n_chars")).alias("n_chars"))
+    return _rounded(stats.missing_stats(holes).orderBy(F.desc("missing_count"), "column_name"), "missing_percentage")
 
 
 _KPI_COLUMNS = {"crop": "lang", "institution": "source", "score": "score", "traits": "traits", "year": "year", "states": "states",

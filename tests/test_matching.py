@@ -131,3 +131,14 @@ def test_bad_year_cells_are_null(spark):
                                "src_pos long, variety_name string, crop string, extracted_year string")
     rows = prepare_left(df).orderBy("csc_raw_id").collect()
     assert [r.year_extracted for r in rows] == [None, None, None, 2015, None, 2016]
+
+
+def test_institutions_of_matches(spark):
+    from cropweave.plans.registries import match_registries
+
+    left = spark.createDataFrame([(1, "PR-124", "Rice", "PAU, Ludhiana"), (2, "Zx9", "Rice", "PAU")],
+                                 "src_pos long, variety_name string, crop string, institution string")
+    right = spark.createDataFrame([(1, "PR 124", "Rice", "pau ludhiana")],
+                                  "src_pos long, variety_name string, crop_name string, breeding_institution string")
+    rows = match_registries(left, right, "2024-01-01 00:00:00").orderBy("csc_raw_id").collect()
+    assert [(r.match_status, r.institution_agrees) for r in rows] == [("MATCHED", True), ("UNMATCHED", None)]

@@ -56,6 +56,7 @@ def test_catalogue(spark, tmp_path):
     assert (report.initial_row_count, report.final_row_count) == (5, 4)
     assert report.duplicate_analysis.asDict() == {"Exact Match": 2, "Unique": 3}
     assert spark.read.json(f"{tmp_path}/database_schema").count() == 22
+    assert set(spark.read.schema("missing_column string").json(f"{tmp_path}/missing_columns").toPandas().missing_column) <= set(publication.ESSENTIAL)
     assert spark.read.option("header", True).csv(f"{tmp_path}/initial_data_profile").count() == 3
 
 
