@@ -1,8 +1,8 @@
 """Global positions, sequential ids and exact quantiles without a one-task sort.
 
-A row's place in a total order is (weight of all earlier buckets) + (its place inside its bucket). Buckets are
-key ranges cut at a bounded sample of the keys, so each bucket is sorted by its own task and only one row per
-bucket is ever brought together.
+Rows go to key ranges, each range is sorted by its own task, and the result is written once with the number of its range
+and the place in it. A row's place in the total order is (weight of all earlier ranges) + (its place in its range), so
+only one row per range is ever brought together. The number of ranges is that of the shuffle partitions.
 """
 
 from __future__ import annotations
@@ -11,79 +11,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from cropweave.session import stage_table
 
-ROWS_PER_BUCKET = 500_000
-VALUES_PER_BUCKET = 50_000
-MAX_BUCKETS = 8_192
-SAMPLE_PER_BUCKET = 8
+# monotonically_increasing_id counts the rows of a partition in its lower 33 bits.
+_ROW_BITS = (1 << 33) - 1
 
 
-def _bounds(df: DataFrame, order: Sequence[str], rows_per_bucket: int) -> list[tuple]:
-    """Upper bounds of all buckets but the last; empty when the rows fit one bucket."""
-    rows = df.count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    if buckets <= 1:
-        return []
-    wanted = buckets * SAMPLE_PER_BUCKET
-    sampled = df.select(*order).sample(fraction=min(1.0, wanted / rows), seed=17)
-    # About `wanted` keys, so at most 64 thousand; they only balance the buckets, any sample gives right positions.
-    keys = sampled.distinct().orderBy(*order).collect()
-    step = max(1, len(keys) // buckets)
-    return [tuple(k) for k in keys[step::step]]
-
-
-def _bucket(df: DataFrame, order: Sequence[str], bounds: Sequence[tuple]) -> Column:
-    """Index of the key's range: how many bounds lie below it, found by binary search."""
-    types = [df.schema[c].dataType for c in order]
-    literals = F.array(*[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, order)]) for b in bounds])
-    key = F.struct(*[F.col(c) for c in order])
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-
-    def advance(found: Column, step: Column) -> Column:
-        reach = found + step
-        return F.when((reach <= len(bounds)) & (F.get(literals, reach - 1) < key), reach).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
-
-
-def _place(within: WindowSpec, amount: Column | None) -> Column:
-    """Summed weight (or number) of the rows before this one in its window."""
-    if amount is None:
-        return (F.row_number().over(within) - 1).cast("long")
-    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(amount).over(earlier), F.lit(0)).cast("long")
-
-
-def _bucket_starts(bucketed: DataFrame, amount: Column | None) -> DataFrame:
-    """Per bucket: its total weight and the weight of all earlier buckets (one row per bucket)."""
-    sizes = bucketed.groupBy("_bucket").agg(F.sum(F.lit(1) if amount is None else amount).alias("_size"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("_bucket", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-
-
-def with_position(df: DataFrame, order: Sequence[str], column: str = "position", weight: str | None = None,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[str], column: str = "position", weight: str | None = None) -> DataFrame:
     """Add the 0-based place of each row in the total order of ``order`` (non-null columns).
 
-    With ``weight`` the place is the summed weight of all rows before this one.
+    With ``weight`` the place is the summed weight of all rows before this one. The rows are stored at once.
     """
-    amount = F.col(weight).cast("long") if weight else None
-    bounds = _bounds(df, order, rows_per_bucket)
-    if not bounds:  # at most rows_per_bucket rows: one sort is the whole job
-        return df.withColumn(column, _place(Window.partitionBy(F.lit(0)).orderBy(*order), amount))
-    bucketed = df.withColumn("_bucket", _bucket(df, order, bounds))
-    return (bucketed.withColumn("_in_bucket", _place(Window.partitionBy("_bucket").orderBy(*order), amount))
-            .join(F.broadcast(_bucket_starts(bucketed, amount)), "_bucket")
-            .withColumn(column, F.col("_start") + F.col("_in_bucket"))
-            .drop("_bucket", "_in_bucket", "_start", "_size"))
-
-
-def with_sequential_id(df: DataFrame, order: Sequence[str], column: str, prefix: str, **options: int) -> DataFrame:
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = stage_table(ranged.select("*", F.spark_partition_id().alias("_range"),
+                                       F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_place")))
+    if weight:
+        earlier = Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        stored = stored.withColumn("_place", F.coalesce(F.sum(F.col(weight).cast("long")).over(earlier), F.lit(0)))
+    sizes = stored.groupBy("_range").agg(F.sum(F.col(weight).cast("long") if weight else F.lit(1)).alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return (stored.join(F.broadcast(starts), "_range")  # a row per shuffle partition
+            .withColumn(column, F.col("_start") + F.col("_place")).drop("_range", "_place", "_start"))
+
+
+def with_sequential_id(df: DataFrame, order: Sequence[str], column: str, prefix: str) -> DataFrame:
     """Ids ``<prefix>000001, <prefix>000002, ...`` in the order of ``order``."""
-    ranked = with_position(df, order, "_position", **options)
+    ranked = with_position(df, order, "_position")
     text = F.format_string(prefix + "%06d", F.col("_position") + 1)
     return ranked.withColumn(column, text).drop("_position")
 
@@ -104,40 +59,35 @@ def require_unique(df: DataFrame, column: str) -> None:
         raise ValueError(f"{column}: {row.unique_ids} unique ids in {row.total_rows} rows")
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
-                    rows_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
-    """Linearly interpolated quantiles (probability, value) from exact order statistics; nulls are ignored.
+def exact_quantiles_by(df: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Linearly interpolated quantiles (group, probability, value) from exact order statistics; nulls are ignored.
 
-    Equal values are counted first, and only the buckets that hold a wanted rank are sorted.
+    Equal values are counted first; all groups are placed in one range-partitioned pass.
     """
-    counts = stage_table(df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value"))
-                         .agg(F.count("*").alias("n")))
+    counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(group), F.col(value).cast("double").alias("value"))
+              .agg(F.count("*").alias("n")))
+    placed = with_position(counts, [group, "value"], "_before", weight="n")
+    totals = placed.groupBy(group).agg(F.sum("n").alias("_total"), F.min("_before").alias("_first"))
+    rank = lambda p: (F.col("_total") - 1) * F.lit(float(p))
     # One target per probability: its fractional rank, between the two order statistics it interpolates.
-    rank = lambda p: (F.sum("n") - 1) * F.lit(float(p))
-    targets = counts.agg(F.array(*[
+    targets = F.array(*[
         F.struct(F.lit(float(p)).alias("probability"), F.floor(rank(p)).alias("low"), F.ceil(rank(p)).alias("high"),
-                 (rank(p) - F.floor(rank(p))).alias("share")) for p in probabilities]).alias("targets")).scalar()
-
-    def covered(start: Column, size: Column, rank: Column) -> Column:
-        return (start <= rank) & (rank < start + size)
-
-    def wanted(start: str, size: str) -> Column:
-        s, n = F.col(start), F.col(size)
-        return F.filter("_targets", lambda t: covered(s, n, t["low"]) | covered(s, n, t["high"]))
-
-    bounds = _bounds(counts, ["value"], rows_per_bucket)
-    if bounds:
-        bucketed = counts.withColumn("_bucket", _bucket(counts, ["value"], bounds))
-        holding = (_bucket_starts(bucketed, F.col("n")).withColumn("_targets", targets)
-                   .where(F.size(wanted("_start", "_size")) > 0))
-        place = _place(Window.partitionBy("_bucket").orderBy("value"), F.col("n"))
-        ranked = bucketed.join(F.broadcast(holding), "_bucket").withColumn("_before", F.col("_start") + place)
-    else:
-        place = _place(Window.partitionBy(F.lit(0)).orderBy("value"), F.col("n"))
-        ranked = counts.withColumn("_before", place).withColumn("_targets", targets)
-    placed = ranked.select("value", "n", "_before", F.explode(wanted("_before", "n")).alias("t"))
-    at = lambda rank: F.max(F.when(covered(F.col("_before"), F.col("n"), F.col(rank)), F.col("value")))
+                 (rank(p) - F.floor(rank(p))).alias("share")) for p in probabilities])
+    start = F.col("_before") - F.col("_first")
+
+    def covered(wanted: Column) -> Column:
+        return (start <= wanted) & (wanted < start + F.col("n"))
+
+    hit = (placed.join(totals, group).select("*", F.explode(targets).alias("t"))
+           .where(covered(F.col("t.low")) | covered(F.col("t.high"))))
+    at = lambda wanted: F.max(F.when(covered(F.col(wanted)), F.col("value")))
     low, high = F.col("low_value"), F.col("high_value")
-    return (placed.groupBy(F.col("t.probability").alias("probability"))
+    return (hit.groupBy(group, F.col("t.probability").alias("probability"))
             .agg(at("t.low").alias("low_value"), at("t.high").alias("high_value"), F.max("t.share").alias("share"))
-            .select("probability", (low + (high - low) * F.col("share")).alias("value")))
+            .select(group, "probability", (low + (high - low) * F.col("share")).alias("value")))
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """Quantiles (probability, value) of one column."""
+    one = df.select(F.lit(0).alias("_group"), F.col(column).alias("_value"))
+    return exact_quantiles_by(one, "_group", "_value", probabilities).drop("_group")

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropweave.functions.text import percent
-from cropweave.operators.ordering import VALUES_PER_BUCKET, exact_quantiles
+from cropweave.operators.ordering import exact_quantiles_by
 
 
 def _long(row: DataFrame, entries: Sequence[tuple]) -> DataFrame:
@@ -29,15 +28,15 @@ def unique_counts(df: DataFrame, columns: Sequence[str], approximate: bool = Fal
     return _long(row, [(F.lit(c).alias("column_name"), F.col(c).alias("unique_values")) for c in columns])
 
 
-def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = VALUES_PER_BUCKET) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation) and max per column."""
     aggregates = [f(F.col(c).cast("double")).alias(f"{c}|{n}") for c in columns for n, f in
                   (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
     names = ("count", "mean", "std", "min", "max")
     basics = _long(df.agg(*aggregates),
                    [(F.lit(c).alias("column_name"), *[F.col(f"`{c}|{n}`").alias(n) for n in names]) for c in columns])
-    quartiles = reduce(DataFrame.unionByName, [
-        exact_quantiles(df, c, (0.25, 0.5, 0.75), rows_per_bucket).withColumn("column_name", F.lit(c)) for c in columns])
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
+    quartiles = exact_quantiles_by(long, "column_name", "value", (0.25, 0.5, 0.75))
     pick = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
     wide = quartiles.groupBy("column_name").agg(pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75"))
     return (basics.join(F.broadcast(wide), "column_name", "left")

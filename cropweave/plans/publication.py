@@ -62,7 +62,7 @@ def _name_path(df: DataFrame) -> str:
     return next((p for p in (*ANALYSIS, "original_data.variety_name") if resolves(df, p)), "original_data.variety_name")
 
 
-def classify(enriched: DataFrame, position: str, features_from: str = "raw", **options: int) -> DataFrame:
+def classify(enriched: DataFrame, position: str, features_from: str = "raw") -> DataFrame:
     """Add name features and the duplicate category of every record.
 
     Features are read from the raw name; ``features_from='titled'`` reads them after title-casing, which hides
@@ -75,11 +75,11 @@ def classify(enriched: DataFrame, position: str, features_from: str = "raw", **o
     featured = (enriched.withColumn("variety_features", name_features(shown))
                 .withColumn("_group", group).withColumn("_prefix", F.col("variety_features.prefix"))
                 .withColumn("_number", F.col("variety_features.numeric_id")))
-    return duplicates.analyze_duplicates(featured, "_group", "_prefix", "_number", position, **options).drop(
+    return duplicates.analyze_duplicates(featured, "_group", "_prefix", "_number", position).drop(
         "_group", "_prefix", "_number")
 
 
-def publish_schema(consolidated: DataFrame, order: Sequence[str], **options: int) -> DataFrame:
+def publish_schema(consolidated: DataFrame, order: Sequence[str]) -> DataFrame:
     """The 22 published columns, id first, in record order."""
     mapping = {name: path for name, path, _ in PUBLISHED}
     flat = trim_strings(project_paths(consolidated, mapping, keep=[c for c in order if c not in mapping]))
@@ -87,7 +87,7 @@ def publish_schema(consolidated: DataFrame, order: Sequence[str], **options: int
         text = F.col(field).cast("string")
         styled = text if field == "approval_status" else title_case(text)
         flat = flat.withColumn(field, F.coalesce(styled, F.lit(UNKNOWN)))
-    numbered = with_sequential_id(flat, list(order), "variety_id", "STS_", **options)
+    numbered = with_sequential_id(flat, list(order), "variety_id", "STS_")
     return numbered.select("variety_id", *mapping)
 
 

@@ -58,10 +58,9 @@ def row_ids(spark: SparkSession, d: str) -> DataFrame:
 SELECT o_orderkey, 'STS_' || lpad(CAST(row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) AS VARCHAR), 6, '0')
   AS variety_id FROM orders""")
 def final_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Several sort columns and more than one bucket, so ids come from bucket starts."""
+    """Several sort columns; ids come from the starts of key ranges."""
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    ordered = with_sequential_id(orders, ["o_orderpriority", "o_orderdate", "o_orderkey"], "variety_id", "STS_",
-                                 rows_per_bucket=4_000)
+    ordered = with_sequential_id(orders, ["o_orderpriority", "o_orderdate", "o_orderkey"], "variety_id", "STS_")
     return ordered.select("o_orderkey", "variety_id")
 
 

@@ -23,16 +23,16 @@ a AS (SELECT r.p_partkey, r.k, coalesce(c.category, 'Unique') AS category, coale
              coalesce(c.first, r.p_partkey) AS first FROM r LEFT JOIN c ON r.k = c.k)"""
 
 
-def _analyzed(spark: SparkSession, d: str, **options: int) -> DataFrame:
+def _analyzed(spark: SparkSession, d: str) -> DataFrame:
     parts = read_table(spark, d, "part").select(
         "p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("k"), F.col("p_type").alias("prefix"),
         (F.col("p_size") % 2).cast("string").alias("num"))
-    return duplicates.analyze_duplicates(parts, "k", "prefix", "num", "p_partkey", **options)
+    return duplicates.analyze_duplicates(parts, "k", "prefix", "num", "p_partkey")
 
 
 @query("dup_classify", f"WITH {_CLASSIFIED} SELECT p_partkey, category, match_id FROM a")
 def dup_classify(spark: SparkSession, d: str) -> DataFrame:
-    return _analyzed(spark, d, rows_per_bucket=200).select(
+    return _analyzed(spark, d).select(
         "p_partkey", F.col("duplicate_category").alias("category"), F.col("duplicate_match_id").alias("match_id"))
 
 

@@ -67,7 +67,7 @@ _DESCRIBE = """SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}),
 @query("describe", " UNION ALL ".join(_DESCRIBE.format(c=c, t="lineitem") for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def describe(spark: SparkSession, d: str) -> DataFrame:
     """Quartiles come from order statistics spread over several buckets."""
-    summary = stats.describe(read_table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], rows_per_bucket=15_000)
+    summary = stats.describe(read_table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
     return _rounded(summary, "mean", "std", "q25", "q50", "q75")
 
 

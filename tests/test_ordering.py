@@ -14,24 +14,23 @@ def shuffled(spark):
     return spark.createDataFrame(rows, "name string, pos long").repartition(7)
 
 
-@pytest.mark.parametrize("rows_per_bucket", [100, 5000])
-def test_positions_are_gap_free(shuffled, rows_per_bucket):
-    got = ordering.with_position(shuffled, ["name", "pos"], rows_per_bucket=rows_per_bucket).collect()
+def test_positions_are_gap_free(shuffled):
+    got = ordering.with_position(shuffled, ["name", "pos"]).collect()
     want = sorted((r.name, r.pos) for r in got)
     assert [(r.name, r.pos) for r in sorted(got, key=lambda r: r.position)] == want
     assert sorted(r.position for r in got) == list(range(2000))
 
 
 def test_order_of_input_does_not_matter(shuffled):
-    a = ordering.with_sequential_id(shuffled, ["pos"], "id", "CSC_", rows_per_bucket=300)
-    b = ordering.with_sequential_id(shuffled.repartition(3), ["pos"], "id", "CSC_", rows_per_bucket=700)
+    a = ordering.with_sequential_id(shuffled, ["pos"], "id", "CSC_")
+    b = ordering.with_sequential_id(shuffled.repartition(3), ["pos"], "id", "CSC_")
     assert {(r.pos, r.id) for r in a.collect()} == {(r.pos, r.id) for r in b.collect()}
     assert a.where("pos = 0").first().id == "CSC_000001"
 
 
 def test_weighted_positions(spark):
     df = spark.createDataFrame([(i, i % 4) for i in range(500)], "v int, w int")
-    got = ordering.with_position(df, ["v"], "before", weight="w", rows_per_bucket=60).orderBy("v").collect()
+    got = ordering.with_position(df, ["v"], "before", weight="w").orderBy("v").collect()
     total = 0
     for r in got:
         assert r.before == total
@@ -51,7 +50,7 @@ def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(3)
     values = [float(x) for x in np.round(rng.normal(50, 20, 3001), 1)] + [50.0] * 1500
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(6)
-    got = {r.probability: r.value for r in ordering.exact_quantiles(df, "v", (0.0, 0.25, 0.5, 0.9, 1.0), rows_per_bucket=50).collect()}
+    got = {r.probability: r.value for r in ordering.exact_quantiles(df, "v", (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
     for p, v in got.items():
         assert v == pytest.approx(np.quantile(values, p))
     assert len(got) == 5
@@ -61,6 +60,11 @@ def test_quantiles_of_nothing(spark):
     assert ordering.exact_quantiles(spark.createDataFrame([], "v double"), "v", (0.5,)).count() == 0
 
 
-def test_small_input_needs_one_sort(spark):
-    plan = ordering.with_position(spark.range(10), ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan
+def test_quantiles_of_several_columns(spark):
+    rows = [("a", float(i)) for i in range(11)] + [("b", 5.0)] * 3 + [("b", 7.0), ("c", None)]
+    got = ordering.exact_quantiles_by(spark.createDataFrame(rows, "g string, v double"), "g", "v", (0.5, 1.0)).collect()
+    assert sorted((r.g, r.probability, r.value) for r in got) == [("a", 0.5, 5.0), ("a", 1.0, 10.0), ("b", 0.5, 5.0), ("b", 1.0, 7.0)]
+
+
+def test_positions_of_nothing(spark):
+    assert ordering.with_position(spark.range(0), ["id"]).collect() == []

@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from cropweave.operators import duplicates
@@ -14,11 +13,10 @@ GROUPS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [2, 1000])
-def test_duplicate_groups(spark, rows_per_bucket):
+def test_duplicate_groups(spark):
     rows = [(k, p, n) for k, members, _, _ in GROUPS for p, n in members]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "pos long, k string, p string, n string").repartition(5)
-    analyzed = duplicates.analyze_duplicates(df, "k", "p", "n", "pos", rows_per_bucket=rows_per_bucket)
+    analyzed = duplicates.analyze_duplicates(df, "k", "p", "n", "pos")
     assert analyzed.count() == len(rows)
     got = {(r.k, r.duplicate_category, r.duplicate_match_id) for r in analyzed.collect()}
     ids = {k: i for i, k in enumerate(k for k, m, c, _ in GROUPS if c != "Unique")}
