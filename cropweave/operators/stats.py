@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import types as T
 
 from cropweave.functions.text import percent
 from cropweave.operators.ordering import exact_quantiles_by
+from cropweave.session import stage_table
+
+
+PROFILE_COLUMNS = 4
 
 
 def _long(row: DataFrame, entries: Sequence[tuple]) -> DataFrame:
@@ -52,18 +57,27 @@ def missing_stats(df: DataFrame, only_missing: bool = True) -> DataFrame:
 
 
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Type, missing count and percent, distinct values and a nested flag per column."""
+    """Type, missing count and percent, distinct values and a nested flag per column.
+
+    Exact distinct counts multiply a row by the columns they are taken of, so few columns share an aggregate; each one
+    reads only its own. Hand in a stored table.
+    """
     nested = {f.name: isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) for f in df.schema.fields}
     value = lambda c: F.to_json(F.col(f"`{c}`")) if nested[c] else F.col(f"`{c}`")
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(F.count("*").alias("_n"),
-                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|m") for c in df.columns],
-                 *[distinct(value(c)).alias(f"{c}|u") for c in df.columns])
-    return _long(row, [(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                        F.col(f"`{c}|m`").alias("missing_values"),
-                        F.try_divide(F.col(f"`{c}|m`") * 100.0, F.col("_n")).alias("missing_percent"),
-                        F.col(f"`{c}|u`").alias("unique_values"), F.lit(nested[c]).alias("nested"))
-                       for c in df.columns])
+
+    def profiled(columns: Sequence[str]) -> DataFrame:
+        row = df.agg(F.count("*").alias("_n"),
+                     *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|m") for c in columns],
+                     *[distinct(value(c)).alias(f"{c}|u") for c in columns])
+        return _long(row, [(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
+                            F.col(f"`{c}|m`").alias("missing_values"),
+                            F.try_divide(F.col(f"`{c}|m`") * 100.0, F.col("_n")).alias("missing_percent"),
+                            F.col(f"`{c}|u`").alias("unique_values"), F.lit(nested[c]).alias("nested"))
+                           for c in columns])
+
+    size = len(df.columns) if approximate else PROFILE_COLUMNS
+    return reduce(DataFrame.unionByName, [profiled(df.columns[i:i + size]) for i in range(0, len(df.columns), size)])
 
 
 def _pairwise(df: DataFrame, columns: Sequence[str], value: Callable[[str], Column]) -> DataFrame:
@@ -89,8 +103,25 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def missing_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of the missing-value indicators."""
-    return _pairwise(df, columns, lambda c: F.col(c).isNull().cast("double"))
+    """Correlation of the missing-value indicators of every column pair i <= j, null where one is constant.
+
+    Rows are counted by their set of missing columns first; pairs are counted over these sets.
+    """
+    absent = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(i)) for i, c in enumerate(columns)]))
+    patterns = stage_table(df.select(absent.alias("absent")).groupBy("absent").agg(F.count("*").alias("n")))
+    together = F.flatten(F.transform("absent", lambda a: F.transform(
+        F.filter("absent", lambda b: b >= a), lambda b: F.struct(a.alias("i"), b.alias("j")))))
+    counts = patterns.select("n", F.explode(together).alias("p")).groupBy("p.i", "p.j").agg(F.sum("n").alias("both"))
+    single = counts.where("i = j")
+    every = [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j]
+    pairs = df.sparkSession.createDataFrame(every, "i int, j int, column_a string, column_b string")
+    total = patterns.agg(F.sum("n").cast("double")).scalar()
+    joined = (pairs.join(counts, ["i", "j"], "left").join(single.select("i", F.col("both").alias("a")), "i", "left")
+              .join(single.select("j", F.col("both").alias("b")), "j", "left").withColumn("_n", total))
+    share = lambda c: F.coalesce(c, F.lit(0)) / F.col("_n")
+    x, y = share("a"), share("b")
+    return joined.select("column_a", "column_b", F.try_divide(
+        share("both") - x * y, F.sqrt(x * (1 - x)) * F.sqrt(y * (1 - y))).alias("correlation"))
 
 
 def strong_pairs(matrix: DataFrame, above: float = 0.5) -> DataFrame:

@@ -160,9 +160,10 @@ WITH p AS (SELECT l_orderkey, l_linenumber, lower(p_type) AS a, lower(trim(regex
 SELECT l_orderkey, l_linenumber, a = b OR coalesce(len(list_intersect(string_split(a, ' '), string_split(b, ' ')))
        / CAST(len(list_distinct(string_split(a, ' ') || string_split(b, ' '))) AS DOUBLE) >= 0.5, false) AS agrees FROM p""")
 def institution_agreement(spark: SparkSession, d: str) -> DataFrame:
-    pairs = read_table(spark, d, "lineitem").join(read_table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return pairs.select("l_orderkey", "l_linenumber",
-                        similarity.tokens_agree("p_type", F.concat_ws(" ", "p_name", "p_type")).alias("agrees"))
+    parts = read_table(spark, d, "part").select(
+        "p_partkey", similarity.tokens_agree("p_type", F.concat_ws(" ", "p_name", "p_type")).alias("agrees"))
+    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "agrees")
 
 
 @query("consistency_check", """
