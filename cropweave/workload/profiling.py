@@ -235,12 +235,12 @@ def multi_trait(spark: SparkSession, d: str) -> DataFrame:
         F.array_sort("words").alias("stressors_tolerated")))
 
 
-@query("usual_range", "SELECT p_partkey, CAST(p_retailprice / 5 AS INTEGER) AS maturity_days, 1960 + p_size AS year_of_release FROM part "
-                      "WHERE CAST(p_retailprice / 5 AS INTEGER) < 300 AND 1960 + p_size > 1990")
+@query("usual_range", "SELECT p_partkey, CAST(floor(p_retailprice / 5) AS INTEGER) AS maturity_days, 1960 + p_size AS year_of_release FROM part "
+                      "WHERE CAST(floor(p_retailprice / 5) AS INTEGER) < 300 AND 1960 + p_size > 1990")
 def usual_range(spark: SparkSession, d: str) -> DataFrame:
     """Outlier filter; nulls drop out."""
     return reports.usual_range(read_table(spark, d, "part").select(
-        "p_partkey", F.round(F.col("p_retailprice") / 5).cast("int").alias("maturity_days"),
+        "p_partkey", F.floor(F.col("p_retailprice") / 5).cast("int").alias("maturity_days"),
         (1960 + F.col("p_size")).alias("year_of_release")))
 
 
