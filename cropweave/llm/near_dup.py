@@ -1,20 +1,22 @@
 """Near-duplicate documents: one-permutation MinHash with optimal densification, star edges, exact confirmation.
 
 1. Every document becomes its set of hashed word shingles; documents with equal sets are one class.
-2. One permutation hashes the set of a class into ``BINS`` bins of minima; an empty bin copies a full one that a fixed
-   hash sequence of (bin, attempt) picks, the same for all sets. ``BAND_ROWS`` bins make a band.
+2. One permutation hashes the set of a class into bins of minima; an empty bin copies a full one that a fixed
+   hash sequence of (bin, attempt) picks, the same for all sets. A band has some of the bins (``banding``).
 3. Classes that share a band get a star-shaped edge to the smallest of the bucket, so a bucket of m classes makes m - 1
    edges. The components of these edges are the clusters of candidates; no candidate pair lies outside a cluster.
 4. Inside a cluster, all links are found on full sets with an inverted index, one pair of cells of bounded size at a
    time, and only a spanning forest of the links of each pair of cells leaves the task.
 5. The components of these links are the groups.
 
-With 36 bands of 7 bins, two sets of similarity 0.85 miss each other with a chance of about 1e-6.
+Bands follow the least similarity: 36 bands of 7 bins at 0.85, 46 of 6 at 0.8. Two sets that similar miss each other with
+a chance of about 1e-6.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +30,29 @@ from cropweave.session import stage_table
 
 SHINGLE = 5
 PERCENT = 85
-BANDS = 36
-BAND_ROWS = 7
-BINS = BANDS * BAND_ROWS
+#: Chance that no band holds a pair of the least similarity, and the bins that bands may take together.
+MISS, MOST_BINS = 1e-6, 288
+BINS = 252
 #: Cells of a large cluster: at least so many members, a cluster in about so many cells, and at most so many shingles.
 CELL_MEMBERS, CELLS, CELL_SHINGLES = 64, 48, 1 << 21
 
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """Bands, and bins of each, for pairs of at least ``percent``: the longest bands that ``MOST_BINS`` have room for."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
+
+    def bands(rows: int) -> int:
+        meet = (percent / 100) ** rows
+        return 1 if meet == 1 else math.ceil(math.log(MISS) / math.log1p(-meet))
+
+    rows = 1
+    while rows < 8 and (rows + 1) * bands(rows + 1) <= MOST_BINS:
+        rows += 1
+    return bands(rows), rows
+
+
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -52,29 +71,30 @@ def shingle_sets(piece: W.Slice, size: int) -> Iterator[np.ndarray]:
             yield grams[:0]
 
 
-_donors: list[np.ndarray] = []
+_donors: dict[int, list[np.ndarray]] = {}
 
 
-def donors(attempt: int) -> np.ndarray:
+def donors(attempt: int, n_bins: int = BINS) -> np.ndarray:
     """For each bin, the bin that the given attempt of an empty bin looks at; the same for all sets."""
-    while len(_donors) <= attempt:
-        keys = np.arange(BINS, dtype=np.uint64) + np.uint64(1 + len(_donors)) * np.uint64(1_000_003)
-        _donors.append((W.mix(keys * W.MULTIPLIER) % np.uint64(BINS)).astype(np.int64))
-    return _donors[attempt]
+    known = _donors.setdefault(n_bins, [])
+    while len(known) <= attempt:
+        keys = np.arange(n_bins, dtype=np.uint64) + np.uint64(1 + len(known)) * np.uint64(1_000_003)
+        known.append((W.mix(keys * W.MULTIPLIER) % np.uint64(n_bins)).astype(np.int64))
+    return known[attempt]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, n_bins: int = BINS) -> np.ndarray:
     """Minimum of each bin of one permutation; empty bins are filled by optimal densification."""
-    bins = ((shingles >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
+    bins = ((shingles >> np.uint64(32)) * np.uint64(n_bins)) >> np.uint64(32)
     # sorted values fall into ascending bins, so the first of each bin is its minimum
-    values = np.full(BINS, _EMPTY)
-    heads = np.flatnonzero(np.diff(bins, prepend=np.uint64(BINS + 1)))
+    values = np.full(n_bins, _EMPTY)
+    heads = np.flatnonzero(np.diff(bins, prepend=np.uint64(n_bins + 1)))
     values[bins[heads].astype(np.int64)] = shingles[heads]
     full = values != _EMPTY
     empty = np.flatnonzero(~full)
     out, attempt = values.copy(), 0
     while len(empty):
-        source = donors(attempt)[empty]
+        source = donors(attempt, n_bins)[empty]
         good = full[source]
         out[empty[good]] = values[source[good]]
         empty = empty[~good]
@@ -82,14 +102,14 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for j in range(BAND_ROWS):
-        keys = W.mix(keys * W.MULTIPLIER + values[j::BAND_ROWS])
+def band_keys(values: np.ndarray, rows: int) -> np.ndarray:
+    keys = np.arange(len(values) // rows, dtype=np.uint64)
+    for j in range(rows):
+        keys = W.mix(keys * W.MULTIPLIER + values[j::rows])
     return keys
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, digests, keys = [], [], []
         for piece in W.slices(batch.column("text")):
@@ -97,7 +117,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
                 counts.append(len(shingles))
                 if len(shingles):
                     digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                    keys.append(W.signed(band_keys(signature(shingles))))
+                    keys.append(W.signed(band_keys(signature(shingles, bands * rows), rows)))
                 else:
                     digests.append(None)
                     keys.append(None)
@@ -236,11 +256,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     Two documents are linked when ``100 * intersection >= percent * union`` of their shingle sets. ``component_id`` is
     the smallest ``doc_id`` reachable, ``kept`` marks the document that has it. Texts that are null or have no words
-    have no shingles and no links. Rows that share a ``doc_id`` are one document with several texts. Rows without a
+    have no shingles and no links. ``percent`` is from 1 to 100. Rows that share a ``doc_id`` are one document with several texts. Rows without a
     ``doc_id`` have no component and are kept. Further columns are ignored. An empty table gives an empty table.
     """
+    bands, rows = banding(percent)
     sketches = stage_table(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda batches: _sketches(batches, shingle),
+        lambda batches: _sketches(batches, shingle, bands, rows),
         "doc_id long, n_shingles long, class binary, bands array<long>"))
     members = stage_table(clusters(sketches))
     links = confirmed_links(docs.select(F.col("doc_id").cast("long"), "text"), members, shingle, percent)

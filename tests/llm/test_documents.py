@@ -436,3 +436,39 @@ def test_wavelet_access_count_and_occurrences(tmp_path, monkeypatch, n, top, blo
     path.write_bytes(b"xxxx" + path.read_bytes()[4:])
     with path.open("rb") as stream, pytest.raises(ValueError):
         wavelet.Shard(stream)
+
+
+def near_kept(rows, percent):
+    """Ids that are the smallest of their group of texts similar at ``percent``."""
+    sets = {i: shingles(t) for i, t in rows}
+    near = {i: {j for j in sets if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])} for i in sets}
+    kept = set()
+    for i in sets:
+        group, more = {i}, {i}
+        while more:
+            more = set().union(*(near[x] for x in more)) - group
+            group |= more
+        kept |= {i} if min(group) == i else set()
+    return kept
+
+
+def test_pipeline_drops_near_duplicates_from_four_fifths(shared):
+    import corpus_pipeline
+
+    rows = [*chain_rows()]
+    for k in range(60):
+        # a changed word in the middle leaves (n - 5) of (n + 5) shingles; n = 45 is a similarity of 0.8
+        words = [f"t{k}-{i}" for i in range(47 + k % 12)]
+        rows += [(10_000 + 2 * k, " ".join(words)),
+                 (10_001 + 2 * k, " ".join([*words[:20], "changed", *words[21:]]))]
+    docs = shared.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(shared, docs, "").collect()]
+    assert set(kept) == near_kept(rows, 80) != near_kept(rows, 85)
+    assert len(kept) == len(set(kept))
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80, 85, 95, 100])
+def test_bands_follow_the_similarity(percent):
+    bands, rows = near_dup.banding(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 1.01e-6
+    assert near_dup.banding(85) == (36, 7) and 36 * 7 == near_dup.BINS
