@@ -145,3 +145,23 @@ def test_extract_takes_hard_rows(shared):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert {r.page_id: r.text for r in got if r.page_id is not None and r.page_id < 20} == {i: f"text {i}" for i in range(20)}
     assert html.extract(frame.limit(0)).collect() == []
+
+
+def test_repeats_of_a_large_host_do_not_depend_on_the_dealing(shared):
+    # each notice stands on two or three pages of 700, far apart in any order
+    def one(i):
+        body = f"<p>main text of page {i} that is only here and {i} nowhere else</p>"
+        notice = f"<p>notice {i % 300} of the house with more words than a run has {i % 300}</p>"
+        return page(f"<article>{body}</article>{notice}" if i % 5 == 0 else body + notice)
+
+    rows = [(i, f"http://{'Large' if i % 2 else 'large'}.example/{i}", one(i)) for i in range(700)]
+    rows += [(1000 + i, f"http://other{i}.example/", one(i)) for i in range(3)] + [(2000, rows[1][1], rows[1][2])] * 2
+    want = {}
+    for host in {r[1].lower().split("/")[2] for r in rows}:
+        own = [r for r in rows if r[1].lower().split("/")[2] == host]
+        want |= {r[0]: (t, len(t), n) for r, (t, n) in zip(own, html.main_texts([r[2] for r in own]))}
+    assert not any("notice" in want[i][0] for i in range(700)) and "notice" in want[1001][0]
+    for parts in (1, 7):
+        got = html.extract(pages_frame(shared, rows).repartition(parts, "page_id")).collect()
+        assert len(got) == len(rows)
+        assert {r.page_id: (r.text, r.n_chars, r.n_left_out) for r in got} == want
