@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropweave.llm import decontaminate, html, line_dedup, near_dup, packing, perplexity, secrets, storage, toxicity, warc, wavelet
+from cropweave.llm import (alignment, audit, decontaminate, html, line_dedup, near_dup, packing, perplexity, phrases, secrets,
+                           storage, toxicity, warc, wavelet)
 from cropweave.llm.base import query, table
 
 
@@ -58,3 +59,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_suffix_array_html")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages"))
+
+
+@query("op11_lz_fingerprint")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.edited_pairs(table(spark, folder, "documents"))
+
+
+@query("op12_filter_tensor_audit", audit.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(table(spark, folder, "documents"))
