@@ -126,14 +126,14 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
 SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS lowest FROM t),
-f AS (SELECT doc_id, part, {
-  'A': len(w) < 100,
-  'B': 100 * len(list_distinct(w)) < 80 * len(w),
-  'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text),
-  'D': regexp_matches(text, '[#$%&*|]'),
-  'E': coalesce(doc_id > lowest, false)} AS f FROM w),
+f AS (SELECT doc_id, part, list_filter([
+  CASE WHEN len(w) < 100 THEN 'A' END,
+  CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+  CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' END,
+  CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+  CASE WHEN doc_id > lowest THEN 'E' END], lambda x: x IS NOT NULL) AS failed FROM w),
 m AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
-d AS (SELECT part, f, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+d AS (SELECT part, failed, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
       FROM f LEFT JOIN m USING (doc_id) GROUP BY ALL),
 x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
 o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
@@ -141,8 +141,7 @@ o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c,
 s AS (SELECT filter_order, step::INTEGER AS step, substr(filter_order, step, 1) AS own,
              string_split(left(filter_order, step - 1), '') AS before
       FROM o, range(1, 6) r(step)),
-g AS (SELECT d.*, s.*, [k FOR k IN ['A', 'B', 'C', 'D', 'E'] IF f[k]] AS failed FROM d, s),
-h AS (SELECT *, list_contains(failed, own) AS fails, len(list_intersect(failed, before)) > 0 AS gone FROM g),
+h AS (SELECT *, list_contains(failed, own) AS fails, len(list_intersect(failed, before)) > 0 AS gone FROM d, s),
 r AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
         coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed,
         coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
