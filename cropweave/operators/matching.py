@@ -5,22 +5,27 @@ has none, and keeps the best one at or above the threshold. The plan never pairs
 
 1. work on distinct (block, key) pairs, so repeated names cost one comparison;
 2. equal keys are found by an equi-join and are done;
-3. the others meet through the rarest letter pairs of their keys (a prefix filter). With t = (T - 0.5) / 200 a
-   score of T needs LCS >= t*S for S = len a + len b; each deleted letter breaks at most two letter pairs and each
-   inserted one at most one, so at least 3*LCS - S + 1 pairs survive in both keys, and two keys that share that
-   many must share one among the first (pairs - that + 1) of any common order. Rarest first keeps groups small.
-   A signature that very many keys of one block share is split into a grid of cells, left keys by row and right keys
+3. the others are looked up in rounds of falling bounds. A round finds all pairs at or above its bound, so a key that has
+   one is done: its best match cannot lie lower. Only the rest goes on to the next bound;
+4. with t = (T - 0.5) / 200 a score of T needs an LCS of at least t*S letters for S = len a + len b. Two keys have a common
+   subsequence of that length just when leaving out letters makes them equal, so short pairs meet by an equi-join on
+   what is left of each key when the letters that their two lengths allow are left out: no other pair meets;
+5. pairs too long for that meet through the rarest letter pairs of their keys (a prefix filter): each deleted letter
+   breaks at most two letter pairs and each inserted one at most one, so at least 3*LCS - S + 1 pairs survive in both keys,
+   and two keys that share that many share one among the first (pairs - that + 1) of any common order. Native
+   ``levenshtein`` with a per-pair limit drops most of these candidates;
+6. a signature that very many keys of one block share is split into a grid of cells, left keys by row and right keys
    by column, so no task gets all its pairs;
-4. native ``levenshtein`` with a per-pair limit drops most candidates, the exact score decides the rest;
-5. an aggregate keeps the best right row per left key.
+7. the exact score decides, and an aggregate keeps the best right row per left key.
 
-Filters 3 and 4 are lossless: every pair at or above the threshold reaches the exact score.
+Steps 4 and 5 are lossless: every pair at or above the bound reaches the exact score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil, comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +39,9 @@ from cropweave.session import stage_table
 GRAM_BUCKETS = 8_192
 # Keys of either side that meet in one cell of a common signature.
 CELL_KEYS = 4_096
+# Texts that may be left of one key of a short pair, and the distance of the bounds of two rounds.
+VARIANTS = 1_024
+ROUND = 10
 # Below this length an unequal pair scores at most 99, so an equal key cannot be tied.
 EXACT_IS_BEST = 99
 
@@ -54,15 +62,63 @@ def _grams(key: Column, t: float) -> Column:
                        lambda i: F.pmod(F.xxhash64(F.substring(text, i, F.lit(width))), F.lit(GRAM_BUCKETS)))
 
 
-def _prefix_signatures(key: Column, frequency: Column, t: float) -> Column:
-    """Codes of the rarest grams of a key: enough of them that any qualifying partner shares one."""
+def _least_lcs(total: int, t: float) -> int:
+    return ceil(total * t - 1e-9)
+
+
+def _short_total(t: float) -> int:
+    """The largest sum of two lengths up to which no key of a pair has more than ``VARIANTS`` texts left of it."""
+    total = 1
+    while True:
+        kept = _least_lcs(total + 1, t)
+        # the longest key of such a pair has a partner of just the letters that must stay
+        if comb(total + 1 - kept, kept) > VARIANTS:
+            return total
+        total += 1
+
+
+def _left_out(t: float, short: int) -> list[tuple[int, int]]:
+    """For each length of a key, the fewest and the most letters that partners of short pairs let it leave out."""
+    out = []
+    for size in range(short + 1):
+        fits = [size - kept for other in range(1, short - size + 1)
+                if (kept := _least_lcs(size + other, t)) <= min(size, other)]
+        out.append((min(fits, default=0), max(fits, default=-1)))
+    return out
+
+
+def _variants(key: Column, t: float, short: int) -> Column:
+    """All that is left of a key when as many letters are left out as its partners in short pairs allow."""
+    fewest, most = zip(*_left_out(t, short))
+    at = lambda table, other: F.coalesce(F.get(F.lit(list(table)), F.length(key)), F.lit(other))
+    rounds = F.slice(F.lit(list(range(1, max(*most, 1) + 1))), F.lit(1), F.greatest(at(most, -1), F.lit(0)))
+
+    def without_one(text: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(
+            F.left(text, i - 1), F.substring(text, i + 1, F.length(text))))
+
+    levels = F.aggregate(rounds, F.array(F.array(key)), lambda levels, _: F.concat(
+        levels, F.array(F.array_distinct(F.flatten(F.transform(F.element_at(levels, -1), without_one))))))
+    wanted = F.slice(levels, at(fewest, 0) + 1, F.greatest(at(most, -1) - at(fewest, 0) + 1, F.lit(0)))
+    return F.flatten(wanted)
+
+
+def _prefix_signatures(key: Column, frequency: Column, t: float, short: int) -> Column:
+    """Codes of the rarest grams of a key: enough of them that any qualifying partner of a long pair shares one.
+
+    Empty where no partner is long enough for a pair of more than ``short`` letters.
+    """
     codes = F.array_sort(F.transform(_grams(key, t), lambda b: F.get(frequency, b.cast("int")) * GRAM_BUCKETS + b))
     # The shortest partner needs the fewest surviving grams, so its bound holds for every partner.
     size = F.length(key)
-    least_sum = size + F.ceil(size * F.lit(t / (1 - t)) - F.lit(1e-9))
-    kept = least_sum * F.lit(3 * t - 1) + 1 if _uses_pairs(t) else least_sum * F.lit(t)
+    partner = F.greatest(F.ceil(size * F.lit(t / (1 - t)) - F.lit(1e-9)), F.lit(short + 1) - size)
+    total = size + partner
+    # grams that survive: 3 * LCS - total + 1 letter pairs, or LCS letters; both grow with the total
+    kept = total * F.lit(3 * t - 1) + 1 if _uses_pairs(t) else total * F.lit(t)
     needed = F.greatest(F.lit(1), F.ceil(kept - F.lit(1e-6)).cast("int"))
-    return F.array_distinct(F.slice(codes, F.lit(1), F.size(codes) - needed + 1))
+    codes = F.array_distinct(F.slice(codes, F.lit(1), F.greatest(F.size(codes) - needed + 1, F.lit(0))))
+    fits = F.least(size, partner) >= F.ceil(total * F.lit(t) - F.lit(1e-9))
+    return F.when(fits, codes).otherwise(F.array().cast("array<bigint>"))
 
 
 def _gram_frequency(keys: DataFrame, t: float) -> DataFrame:
@@ -75,18 +131,26 @@ def _gram_frequency(keys: DataFrame, t: float) -> DataFrame:
     return dense.agg(F.transform(ordered, lambda x: x["n"]).alias("frequency"))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> DataFrame:
-    """Scored pairs at or above the threshold from two frames of distinct (scope, block, key)."""
+def joined_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+    """Pairs that meet, once for each signature they share, from two frames of distinct (scope, block, key).
+
+    ``kept`` is the number of letters left of both keys of a short pair, -1 for a long pair.
+    """
     t = (threshold - 0.5) / 200
+    short = _short_total(t)
     frequency = _gram_frequency(left.unionByName(right), t)
 
     def signed(df: DataFrame, key_name: str) -> DataFrame:
-        signatures = _prefix_signatures(F.col("key"), F.col("frequency"), t)
-        return stage_table(df.withColumn("frequency", frequency.scalar())
-                           .select("scope", "block", F.col("key").alias(key_name), F.explode(signatures).alias("signature")))
+        own = df.select("scope", "block", F.col("key").alias(key_name))
+        brief = own.select("*", F.explode(_variants(F.col(key_name), t, short)).alias("rest")).select(
+            "scope", "block", key_name, F.xxhash64("rest").alias("signature"), F.length("rest").alias("kept"))
+        long = own.withColumn("frequency", frequency.scalar()).select(
+            "scope", "block", key_name, F.explode(_prefix_signatures(F.col(key_name), F.col("frequency"), t, short)).alias("signature"),
+            F.lit(-1).alias("kept"))
+        return stage_table(brief.unionByName(long))
 
     a, b = signed(left, "left_key"), signed(right, "right_key")
-    group = ("scope", "block", "signature")
+    group = ("scope", "block", "signature", "kept")
     # signatures that many keys of one block share, counted within the block; there are few of them, often none
     sizes = [df.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CELL_KEYS) for df in (a, b)]
     crowded = stage_table(sizes[0].unionByName(sizes[1]).groupBy(*group).agg(
@@ -104,17 +168,38 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> Dat
     a, b = a.alias("a"), b.alias("b")
     total = F.length("left_key") + F.length("right_key")
     least_lcs = F.ceil(total * F.lit(t) - F.lit(1e-9))
-    limit = F.greatest(total - 2 * least_lcs, F.lit(0)).cast("int")
-    near = F.call_function("levenshtein", F.col("left_key"), F.col("right_key"), limit) >= 0
     lengths_fit = F.least(F.length("left_key"), F.length("right_key")) >= least_lcs
-    candidates = (
-        a.join(b, _same(*group) & lengths_fit)
-        .where(near)
-        .select("a.scope", "a.block", "left_key", "right_key").distinct())
+    own_kind = F.when(total <= short, F.col("a.kept") == least_lcs).otherwise(F.col("a.kept") < 0)
+    return a.join(b, _same(*group) & own_kind & lengths_fit).select(
+        "a.scope", "a.block", "left_key", "right_key", "a.kept", (total - 2 * least_lcs).cast("int").alias("_limit"))
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> DataFrame:
+    """Scored pairs at or above the threshold from two frames of distinct (scope, block, key)."""
+    near = F.call_function("levenshtein", F.col("left_key"), F.col("right_key"), F.greatest("_limit", F.lit(0))) >= 0
+    candidates = (joined_pairs(left, right, threshold).where(F.when(F.col("kept") < 0, near).otherwise(F.lit(True)))
+                  .select("scope", "block", "left_key", "right_key").distinct())
     return (candidates.withColumn("score", indel_score("left_key", "right_key"))
             .where(F.col("score") >= threshold))
 
 
+def falling_bounds(threshold: int) -> list[int]:
+    """Bounds of the rounds, ``ROUND`` apart, down to the threshold."""
+    return [*range(100 - ROUND, threshold, -ROUND), threshold]
+
+
+def best_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+    """For each left key all pairs of the first round that finds any; the best ones are among them."""
+    found = []
+    for bound in falling_bounds(threshold):
+        pairs = stage_table(similar_pairs(left, right, bound))
+        found.append(pairs)
+        if bound > threshold:
+            done = pairs.select("scope", "block", F.col("left_key").alias("key")).distinct()
+            left = stage_table(left.alias("a").join(done.alias("b"), _same("scope", "block", "key"), "left_anti"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _same(*columns: str) -> Column:
     """Null-safe equality of the named columns of the frames aliased ``a`` and ``b`` (still a hash join key)."""
     return reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
@@ -158,7 +243,7 @@ def best_matches(left: DataFrame, right: DataFrame, *, left_name: str, left_bloc
     exact = equal.where(F.col("best").isNotNull()).select(*same_key, F.lit(100).alias("score"), "best")
     unsettled = (equal.where(F.col("best").isNull() | (F.length("key") > EXACT_IS_BEST))
                  .select(*same_key).distinct())
-    pairs = similar_pairs(unsettled, rights.select(*same_key), threshold)
+    pairs = best_pairs(unsettled, rights.select(*same_key), threshold)
     scored = (pairs.withColumnRenamed("right_key", "key").alias("a").join(rights.alias("b"), _same(*same_key))
               .select("a.scope", "a.block", F.col("left_key").alias("key"), "score", "best"))
     winners = (exact.unionByName(scored).groupBy(*same_key)
