@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from cropweave.functions.jsonio import is_json_object, parse_string_array
 from cropweave.operators.ordering import with_position
 from cropweave.session import stage_table
+from cropweave.sources.json_arrays import SPLIT, read_elements
 
 OVERSIZE_BYTES = 20 * 1024 * 1024
 ARRAY_COLUMNS = ("stressors_tolerated", "quality_traits", "genetic_markers", "parent_lines", "adaptation_zones",
@@ -54,37 +55,55 @@ def read_catalogue_csv(spark: SparkSession, path: str, schema: T.StructType,
     return df.select(*[parse_string_array(c).alias(c) if c in arrays else F.col(c) for c in df.columns])
 
 
-def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+                        split: int | None = SPLIT) -> tuple[DataFrame, DataFrame]:
     """(documents, quarantine) from files that hold one JSON document or an array of them.
 
-    Documents carry ``source_path`` and ``source_pos``. The quarantine (source_path, source_pos, content, reason) takes
-    what is no document: files that are no valid JSON or neither object nor array (``source_pos`` null, the whole text),
-    array elements that are no objects, and objects with a field of another type than the schema's. A file is read by
-    one task, as its array cannot be split; a file of no bytes has nothing to report.
+    Documents carry ``source_path`` and ``source_pos``, the place of the element in its array. The quarantine (source_path,
+    source_pos, content, reason) takes what is no document: array elements that are no valid JSON or no objects, objects
+    with a field of another type than the schema's, and, with ``source_pos`` null, whole files that are neither object nor
+    array, text behind the end of an array, and a note on an array that ends without its bracket after a whole element. A
+    file of no bytes has nothing to report.
+
+    Arrays are read in ranges of ``split`` bytes by many tasks, from stores that Arrow knows. With ``split=None`` Spark's own
+    reader takes each file whole, from any store; a file that is not valid from end to end is then refused as a whole.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    files = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("source_path"), F.col("value").alias("content"))
-    parsed = files.withColumn("_json", F.try_parse_json("content"))
-    many = F.coalesce(F.schema_of_variant("_json").startswith("ARRAY"), F.lit(False))
-    usable = many | is_json_object(F.col("_json"))
-    elements = F.when(many, F.expr("try_variant_get(_json, '$', 'array<variant>')")).otherwise(F.array("_json"))
-    each = parsed.where(usable).select("source_path", F.posexplode(elements).alias("source_pos", "_element"))
-    typed = each.select("source_path", "source_pos", F.to_json("_element").alias("content"),
-                        is_json_object(F.col("_element")).alias("_object"),
-                        F.when(is_json_object(F.col("_element")), F.from_json(F.to_json("_element"), schema)).alias("document"),
-                        F.expr("try_variant_get(_element, '$', 'map<string, variant>')").alias("_fields"))
+    if split is None:
+        files = spark.read.text(paths, wholetext=True).select(
+            F.input_file_name().alias("source_path"), F.col("value").alias("content"), F.lit("file").alias("kind"))
+        rows = files.withColumn("_json", F.try_parse_json("content"))
+        many = F.coalesce(F.schema_of_variant("_json").startswith("ARRAY"), F.lit(False))
+        elements = F.when(many, F.expr("try_variant_get(_json, '$', 'array<variant>')")).otherwise(F.array("_json"))
+        each = rows.select("source_path", F.when(many, "element").otherwise(F.col("kind")).alias("kind"), F.col("content").alias("_whole"),
+                           F.posexplode(elements).alias("source_pos", "_json"))
+        each = each.select("source_path", F.when(F.col("kind") == "element", F.col("source_pos")).cast("long").alias("source_pos"),
+                           F.when(F.col("kind") == "element", F.to_json("_json")).otherwise(F.col("_whole")).alias("content"),
+                           "kind", "_json")
+    else:
+        each = read_elements(spark, paths, split).withColumn("_json", F.try_parse_json("content"))
+    is_object = is_json_object(F.col("_json"))
+    typed = each.select("source_path", "source_pos", "content", "kind", "_json", is_object.alias("_object"),
+                        F.when(is_object, F.from_json(F.to_json("_json"), schema)).alias("document"),
+                        F.expr("try_variant_get(_json, '$', 'map<string, variant>')").alias("_fields"))
     lost = F.lit(False)
     for field in schema.fieldNames():
         given = F.col("_fields")[field]
         lost = lost | F.coalesce(F.col("document")[field].isNull() & given.isNotNull() & ~F.is_variant_null(given), F.lit(False))
-    reason = F.when(~F.col("_object"), "element is no object").when(lost, "field of another type")
+    whole = F.col("kind") == "file"
+    reason = (F.when(F.col("kind") == "behind", "text behind the array").when(F.col("_json").isNull(), "no valid JSON")
+              .when(whole & ~F.col("_object"), "neither object nor array").when(~F.col("_object"), "element is no object")
+              .when(lost, "field of another type"))
     judged = typed.withColumn("reason", reason)
-    refused = judged.where(F.col("reason").isNotNull()).select("source_path", "source_pos", "content", "reason")
-    broken = parsed.where(~usable | usable.isNull()).select(
-        "source_path", F.lit(None).cast("int").alias("source_pos"), "content",
-        F.when(F.col("_json").isNull(), "no valid JSON").otherwise("neither object nor array").alias("reason"))
-    documents = judged.where(F.col("reason").isNull()).select("document.*", "source_path", "source_pos")
-    return documents, refused.unionByName(broken)
+    # a file that is one object stands at place 0; one that is none has no place
+    refused = judged.where(F.col("reason").isNotNull()).select(
+        "source_path", F.when(whole & F.col("_object"), 0).otherwise(F.col("source_pos")).cast("long").alias("source_pos"), "content", "reason")
+    unclosed = judged.where((F.col("kind") == "cut") & F.col("_json").isNotNull()).select(
+        "source_path", F.lit(None).cast("long").alias("source_pos"), F.lit(None).cast("string").alias("content"),
+        F.lit("array is not closed").alias("reason"))
+    documents = judged.where(F.col("reason").isNull()).select(
+        "document.*", "source_path", F.coalesce("source_pos", F.lit(0)).cast("int").alias("source_pos"))
+    return documents, refused.unionByName(unclosed)
 
 
 def read_final(spark: SparkSession, table: str | None, csv_path: str | None, schema: T.StructType) -> DataFrame:
