@@ -72,20 +72,20 @@ def top_cross_counts(counts: DataFrame, row: str, column: str, rows: int = 10, c
     return cells.select(row, column, F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int, weight: str | None = None) -> DataFrame:
     """Equal-width bins between minimum and maximum; the last bin is closed and empty bins are listed.
 
-    A constant column gets a range of one around its value.
+    A constant column gets a range of one around its value. With ``weight`` a row stands for so many.
     """
     x = F.col(column).cast("double")
-    known = df.where(x.isNotNull()).select(x.alias("x"))
+    known = df.where(x.isNotNull()).select(x.alias("x"), (F.col(weight) if weight else F.lit(1)).alias("n"))
     flat = F.min("x") == F.max("x")
     ends = known.agg(F.struct(F.when(flat, F.min("x") - 0.5).otherwise(F.min("x")).alias("lo"),
                               F.when(flat, F.max("x") + 0.5).otherwise(F.max("x")).alias("hi")).alias("ends"))
     end = ends.scalar()
     share = (F.col("x") - end["lo"]) / (end["hi"] - end["lo"])
     place = F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int")
-    counts = known.groupBy(place.alias("bin")).agg(F.count("*").alias("count"))
+    counts = known.groupBy(place.alias("bin")).agg(F.sum("n").alias("count"))
     width = (F.col("ends.hi") - F.col("ends.lo")) / bins
     every = (ends.where(F.col("ends.lo").isNotNull())
              .select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.col("ends.lo").alias("lo"),
@@ -119,7 +119,12 @@ def diversity(df: DataFrame, owner: str, item: str) -> DataFrame:
 
 def specialists(df: DataFrame, group: str, owner: str, groups: int = 5, owners: int = 3) -> DataFrame:
     """The leading owners of each of the largest groups."""
-    pairs = stage_table(df.where(F.col(group).isNotNull()).groupBy(group, owner).agg(F.count("*").alias("count")))
+    return leading_owners(stage_table(df.where(F.col(group).isNotNull()).groupBy(group, owner).agg(F.count("*").alias("count"))),
+                          group, owner, groups, owners)
+
+
+def leading_owners(pairs: DataFrame, group: str, owner: str, groups: int = 5, owners: int = 3) -> DataFrame:
+    """``specialists`` from a stored count table (group, owner, count)."""
     leading = top_k(pairs.groupBy(group).agg(F.sum("count").alias("count")), groups).select(group)
     counts = pairs.where(F.col(owner).isNotNull()).join(F.broadcast(leading), group, "left_semi")
     order = Window.partitionBy(group).orderBy(F.desc("count"), owner)

@@ -66,6 +66,11 @@ def exact_quantiles_by(df: DataFrame, group: str, value: str, probabilities: Seq
     """
     counts = (df.where(F.col(value).isNotNull()).groupBy(F.col(group), F.col(value).cast("double").alias("value"))
               .agg(F.count("*").alias("n")))
+    return counted_quantiles(counts, group, probabilities)
+
+
+def counted_quantiles(counts: DataFrame, group: str, probabilities: Sequence[float]) -> DataFrame:
+    """``exact_quantiles_by`` from counted values (group, value, n)."""
     placed = with_position(counts, [group, "value"], "_before", weight="n")
     totals = placed.groupBy(group).agg(F.sum("n").alias("_total"), F.min("_before").alias("_first"))
     rank = lambda p: (F.col("_total") - 1) * F.lit(float(p))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,15 +112,50 @@ def search_catalogue(df: DataFrame, *, crop: str | None = None, state: str | Non
 
 
 def consistency_check(a: DataFrame, b: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Full outer comparison of two sources: where each key is found and whether each field agrees."""
-    left, right = a.alias("a"), b.alias("b")
+    """Full outer comparison of two sources: where each key is found and whether each field agrees.
+
+    A null key equals no other, so such a row is found on its own side only.
+    """
+    left, right = a.withColumn("_left", F.lit(True)).alias("a"), b.withColumn("_right", F.lit(True)).alias("b")
     joined = left.join(right, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
-    presence = (F.when(F.col(f"b.{key}").isNull(), F.lit("left_only"))
-                .when(F.col(f"a.{key}").isNull(), F.lit("right_only")).otherwise(F.lit("both")))
+    presence = (F.when(F.col("_right").isNull(), F.lit("left_only"))
+                .when(F.col("_left").isNull(), F.lit("right_only")).otherwise(F.lit("both")))
     return joined.select(F.coalesce(f"a.{key}", f"b.{key}").alias(key), presence.alias("presence"),
                          *[F.col(f"a.{f}").eqNullSafe(F.col(f"b.{f}")).alias(f"{f}_agrees") for f in fields])
 
 
+def reconcile(sources: Mapping[str, DataFrame], key: str, fields: Sequence[str]) -> DataFrame:
+    """Compare any number of sources by key in one aggregate of their stacked rows.
+
+    Per key: ``found_in`` and ``missing_in`` (names in the order given), ``repeated_in`` (sources with several rows of the
+    key, of which the smallest value of a field counts), and for every field ``<field>_agrees`` and ``<field>_differs_in``,
+    the first source that has the key and another value than the first one that has it; null equals null only. A null key
+    equals none of another source: every source has a row of its own for its null keys. Rows are combined before the
+    shuffle, so a key with a third of all rows makes no large group.
+    """
+    names = list(sources)
+    stacked = reduce(DataFrame.unionByName, [
+        df.select(F.col(key).alias("_key"), F.lit(i).alias("_source"), *[F.col(f).alias(f"_{f}") for f in fields])
+        for i, df in enumerate(sources.values())])
+    own = lambda i, c: F.when(F.col("_source") == i, c)
+    grouped = stacked.groupBy("_key", F.when(F.col("_key").isNull(), F.col("_source")).alias("_lost")).agg(
+        *[F.count(own(i, F.lit(1))).alias(f"n{i}") for i in range(len(names))],
+        *[F.min(own(i, F.struct(F.col(f"_{f}").alias("v")))).alias(f"{f}|{i}") for f in fields for i in range(len(names))])
+
+    def which(condition: Callable[[int], Column]) -> Column:
+        return F.array_compact(F.array(*[F.when(condition(i), F.lit(n)) for i, n in enumerate(names)]))
+
+    def compared(field: str) -> list[Column]:
+        value = [F.col(f"`{field}|{i}`") for i in range(len(names))]
+        first = F.coalesce(*value)
+        other = F.coalesce(*[F.when(v.isNotNull() & ~v["v"].eqNullSafe(first["v"]), F.lit(n)) for v, n in zip(value, names)])
+        return [other.isNull().alias(f"{field}_agrees"), other.alias(f"{field}_differs_in")]
+
+    return grouped.select(
+        F.col("_key").alias(key), which(lambda i: F.col(f"n{i}") > 0).alias("found_in"), which(lambda i: F.col(f"n{i}") == 0).alias("missing_in"),
+        which(lambda i: F.col(f"n{i}") > 1).alias("repeated_in"), *[c for f in fields for c in compared(f)])
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key the parent lacks."""
     return child.join(parent.select(key), on=key, how="left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,8 @@ from cropweave.session import stage_table
 
 
 PROFILE_COLUMNS = 4
+QUARTILES = (0.25, 0.5, 0.75)
+_BASICS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
 def _long(row: DataFrame, entries: Sequence[tuple]) -> DataFrame:
@@ -35,13 +37,19 @@ def unique_counts(df: DataFrame, columns: Sequence[str], approximate: bool = Fal
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation) and max per column."""
-    aggregates = [f(F.col(c).cast("double")).alias(f"{c}|{n}") for c in columns for n, f in
-                  (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
-    names = ("count", "mean", "std", "min", "max")
-    basics = _long(df.agg(*aggregates),
-                   [(F.lit(c).alias("column_name"), *[F.col(f"`{c}|{n}`").alias(n) for n in names]) for c in columns])
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
-    quartiles = exact_quantiles_by(long, "column_name", "value", (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles_by(long, "column_name", "value", QUARTILES)
+    return description(df.agg(*describing(columns)), quartiles, columns)
+
+
+def describing(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that ``description`` reads."""
+    return [f(F.col(c).cast("double")).alias(f"{c}|{n}") for c in columns for n, f in _BASICS.items()]
+
+
+def description(row: DataFrame, quartiles: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``describe`` from its one-row aggregate and the quartiles (column_name, probability, value)."""
+    basics = _long(row, [(F.lit(c).alias("column_name"), *[F.col(f"`{c}|{n}`").alias(n) for n in _BASICS]) for c in columns])
     pick = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
     wide = quartiles.groupBy("column_name").agg(pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75"))
     return (basics.join(F.broadcast(wide), "column_name", "left")
@@ -50,9 +58,17 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def missing_stats(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """Missing count and percent per column, in one pass."""
-    row = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
-    stats = _long(row, [(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("missing_count"),
-                         percent(F.col(f"`{c}`"), F.col("_n")).alias("missing_percentage")) for c in df.columns])
+    return missing_rows(df.agg(*missing_counts(df.columns)), df.columns, only_missing)
+
+
+def missing_counts(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that ``missing_rows`` reads."""
+    return [F.count("*").alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|missing") for c in columns]]
+
+
+def missing_rows(row: DataFrame, columns: Sequence[str], only_missing: bool = True) -> DataFrame:
+    stats = _long(row, [(F.lit(c).alias("column_name"), F.col(f"`{c}|missing`").alias("missing_count"),
+                         percent(F.col(f"`{c}|missing`"), F.col("_n")).alias("missing_percentage")) for c in columns])
     return stats.where(F.col("missing_count") > 0) if only_missing else stats
 
 
@@ -80,26 +96,27 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, [profiled(df.columns[i:i + size]) for i in range(0, len(df.columns), size)])
 
 
-def _pairwise(df: DataFrame, columns: Sequence[str], value: Callable[[str], Column]) -> DataFrame:
-    """Correlation of every column pair i <= j in one aggregate; rows with a null on either side are left out.
+def correlating(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that ``correlation_rows`` reads: every column pair i <= j, rows with a null on either side left out.
 
     Null where a column is constant over the rows used (``corr`` itself would divide by zero).
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-
     def correlation(a: str, b: str) -> Column:
-        x, y = value(a), value(b)
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
         spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
         return F.try_divide(F.covar_pop(x, y), spread)
 
-    row = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    return [correlation(a, b).alias(f"{a}|{b}") for i, a in enumerate(columns) for b in columns[i:]]
+
+
+def correlation_rows(row: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _long(row, [(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"`{a}|{b}`").alias("correlation"))
-                       for a, b in pairs])
+                       for i, a in enumerate(columns) for b in columns[i:]])
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Upper triangle of the correlation matrix, diagonal included."""
-    return _pairwise(df, columns, lambda c: F.col(c).cast("double"))
+    return correlation_rows(df.agg(*correlating(columns)), columns)
 
 
 def missing_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,14 +124,23 @@ def missing_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Rows are counted by their set of missing columns first; pairs are counted over these sets.
     """
-    absent = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(i)) for i, c in enumerate(columns)]))
-    patterns = stage_table(df.select(absent.alias("absent")).groupBy("absent").agg(F.count("*").alias("n")))
+    patterns = stage_table(df.select(absent_columns(columns).alias("absent")).groupBy("absent").agg(F.count("*").alias("n")))
+    return pattern_correlations(patterns, columns)
+
+
+def absent_columns(columns: Sequence[str]) -> Column:
+    """Places of the columns that a row lacks."""
+    return F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(i)) for i, c in enumerate(columns)]))
+
+
+def pattern_correlations(patterns: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``missing_correlations`` from a stored table of the sets of missing columns (absent, n)."""
     together = F.flatten(F.transform("absent", lambda a: F.transform(
         F.filter("absent", lambda b: b >= a), lambda b: F.struct(a.alias("i"), b.alias("j")))))
     counts = patterns.select("n", F.explode(together).alias("p")).groupBy("p.i", "p.j").agg(F.sum("n").alias("both"))
     single = counts.where("i = j")
     every = [(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j]
-    pairs = df.sparkSession.createDataFrame(every, "i int, j int, column_a string, column_b string")
+    pairs = patterns.sparkSession.createDataFrame(every, "i int, j int, column_a string, column_b string")
     total = patterns.agg(F.sum("n").cast("double")).scalar()
     joined = (pairs.join(counts, ["i", "j"], "left").join(single.select("i", F.col("both").alias("a")), "i", "left")
               .join(single.select("j", F.col("both").alias("b")), "j", "left").withColumn("_n", total))

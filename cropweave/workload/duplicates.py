@@ -105,15 +105,19 @@ def catalogue(spark: SparkSession, d: str) -> DataFrame:
     return publication.build_catalogue(enriched_parts(spark, d))[0]
 
 
-@query("catalogue_summary", f"""WITH {_ENRICHED}
+@query("catalogue_summary", f"""WITH {_ENRICHED},
+e AS (SELECT p_partkey, CASE WHEN g.k IS NULL THEN 'Unique' WHEN g.fewest >= 2 THEN 'Exact Match' WHEN np = 1 AND nn > 1 THEN 'Related but Distinct'
+             ELSE 'Typo/Formatting Issue' END AS category FROM f LEFT JOIN g ON f.k = g.k)
 SELECT (SELECT count(*) FROM f) AS initial_row_count, (SELECT count(*) FROM kept) AS final_row_count,
-       1 AS input_files, '1.0' AS processing_version""")
+       (SELECT count(DISTINCT p_brand) FROM part) AS input_files, '1.0' AS processing_version, '2024-01-01T00:00:00' AS timestamp,
+       (SELECT string_agg(category || ':' || n, ',' ORDER BY category) FROM (SELECT category, count(*) AS n FROM e GROUP BY 1)) AS duplicate_analysis""")
 def catalogue_summary(spark: SparkSession, d: str) -> DataFrame:
     enriched = enriched_parts(spark, d)
-    files = read_table(spark, d, "part").select(F.input_file_name().alias("source_path"))
+    files = read_table(spark, d, "part").select(F.concat(F.lit("batch/"), "p_brand", F.lit(".json")).alias("source_path"))
     published, totals = publication.build_catalogue(enriched)
     summary = publication.synthesis_summary(files, enriched, published, totals, "2024-01-01T00:00:00")
-    return summary.select("initial_row_count", "final_row_count", "input_files", "processing_version")
+    categories = F.array_sort(F.transform(F.map_entries("duplicate_analysis"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))))
+    return summary.withColumn("duplicate_analysis", F.array_join(categories, ","))
 
 
 @query("child_table", """

@@ -165,3 +165,46 @@ def test_cap_per_group(spark):
     capped = counts.cap_per_group(df, "g", ["i"], 5)
     assert sorted(r.i for r in capped.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9, 12]
     assert "WindowGroupLimit" in capped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_reports_need_two_scans_and_two_filters(spark, catalogue, tmp_path):
+    """Facts and totals scan the catalogue once each; only the two reports that list rows read it besides."""
+    catalogue.write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    kinds, groups = ({x for need in reports.NEEDS.values() for x in need[i]} for i in (0, 1))
+    assert scans(reports.fact_counts(stored, kinds)) == scans(reports.row_totals(stored, groups)) == 1
+    every = reports.profile_catalogue(stored)
+    assert list(every) == list(reports.NEEDS) and len(every) == 31
+    direct = [name for name, frame in every.items() if str(tmp_path) in "".join(frame.inputFiles())]
+    assert direct == ["multi_trait", "usual_range"]
+
+
+def test_reports_equal_the_single_operators(spark, catalogue, all_reports):
+    from cropweave.operators import kpis
+
+    single = {
+        "missing": stats.missing_stats(catalogue), "describe": stats.describe(catalogue, stats.numeric_columns(catalogue)),
+        "unique": stats.unique_counts(catalogue, ["variety_name", "crop_type", "breeding_institution"]),
+        "year_histogram": counts.histogram(catalogue, "year_of_release", 20),
+        "missing_correlations": stats.missing_correlations(catalogue, catalogue.columns),
+        "states": counts.top_k(counts.element_counts(catalogue, "recommended_states", "state"), 15),
+        "stressor_totals": counts.element_totals(catalogue, "stressors_tolerated"),
+        "quality_trait_sizes": counts.size_histogram(catalogue, "quality_traits"),
+        "decades": counts.decade_counts(catalogue, "year_of_release"),
+        "institutions": counts.value_counts(catalogue, "breeding_institution"),
+        "specialists": counts.specialists(catalogue, "crop_type", "breeding_institution"),
+        "completeness_by_crop": counts.mean_by(catalogue, "crop_type", "data_completeness_score", "crop_type"),
+        "strong_pairs": stats.strong_pairs(stats.correlations(catalogue, stats.numeric_columns(catalogue))),
+        "summary": kpis.summary_kpis(catalogue)}
+    plain = lambda v: round(v, 9) if isinstance(v, float) else v
+    rows = lambda df: sorted((tuple(plain(r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
+    for name, frame in single.items():
+        assert sorted(frame.columns) == sorted(all_reports[name].columns), name
+        assert rows(frame) == rows(all_reports[name]), name
+
+
+def test_reports_of_an_empty_catalogue(catalogue):
+    every = reports.profile_catalogue(catalogue.limit(0))
+    assert every["unique"].where("unique_values = 0").count() == 3
+    assert every["summary"].first().total_varieties == 0 and every["crops"].count() == 0 and every["year_histogram"].count() == 0
