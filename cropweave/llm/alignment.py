@@ -34,9 +34,11 @@ from cropweave.session import stage_table
 A_PATH = public_tokenizers.path("byte_bpe_50k.json")
 B_PATH = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of text whose links share one list.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Segments whose ids a worker remembers for the second tokenizer; beyond it starts anew.
-MEMORY = 300_000
+MEMORY = 400_000
+#: Tokens that are written out at once.
+WRITTEN = 1 << 18
 SPACE = "▁"
 
 
@@ -64,44 +66,87 @@ def piece_tokens(pieces: SentencePieceProcessor) -> list[bytes]:
     return [as_bytes(i) for i in range(pieces.get_piece_size())]
 
 
+class Table:
+    """Byte strings by number, in one array, for many look-ups at once."""
+
+    def __init__(self, entries: list[bytes]):
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+        self.sizes = np.array([len(e) for e in entries], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return self.flat[_places(self.starts[numbers], self.sizes[numbers])]
+
+
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges that begin at ``starts``, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class Pieces:
     """Ids of texts by a piece tokenizer that adds a blank in front.
 
     Where no piece goes on with a blank after another character, runs of blanks with what follows them are encoded on
-    their own, and a worker remembers them.
+    their own: the new ones of a chunk at once, and a worker remembers them.
     """
 
     def __init__(self, path: str):
         self.model = SentencePieceProcessor(model_file=path)
         names = map(self.model.id_to_piece, range(self.model.get_piece_size()))
         self.apart = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names)
-        self.bytes = piece_tokens(self.model)
+        self.table = Table(piece_tokens(self.model))
         self.blank = self.model.piece_to_id(SPACE)
-        self.known: dict[str, list[int]] = {}
-
-    def _segment(self, segment: str) -> list[int]:
-        return [self.blank] if segment == " " else self.model.encode(segment[1:], num_threads=1)
-
-    def encode(self, text: str) -> list[int]:
-        if not self.apart or SPACE in text:
-            return self.model.encode(text, num_threads=1)
-        segments = re.findall(" +[^ ]*", " " + text)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.starts, self.flat, self.true = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+
+    def _learn(self, segments: list[str]) -> None:
+        """Encode new segments, and note which of them their ids give back."""
+        lists = self.model.encode([s[1:] for s in segments], num_threads=1)
+        lists = [[self.blank] if s == " " else ids for s, ids in zip(segments, lists)]
+        ids = np.fromiter(chain.from_iterable(lists), np.int32)
+        ends = np.cumsum([len(x) for x in lists])
+        letters, cuts = self.table.joined(ids).tobytes(), np.append(0, np.cumsum(self.table.sizes[ids]))[np.append(0, ends)].tolist()
+        true = [letters[a:b] == s.encode() for s, a, b in zip(segments, cuts, cuts[1:])]
+        self.known.update(zip(segments, range(len(self.true), len(self.true) + len(segments))))
+        self.starts = np.append(self.starts, self.starts[-1] + ends)
+        self.flat, self.true = np.append(self.flat, ids), np.append(self.true, true)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, how many each has, and whether they give back the text with a blank in front."""
+        if not self.apart:
+            lists = [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
+            true = [bool(t) and self.table.joined(ids).tobytes() == b" " + t.encode() for t, ids in zip(texts, lists)]
+            return np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array(true, bool)
         if len(self.known) > MEMORY:
-            self.known.clear()
-        known = self.known
-        for segment in set(segments).difference(known):
-            known[segment] = self._segment(segment)
-        return list(chain.from_iterable(map(known.__getitem__, segments)))
-
-
-def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
-    """Runs ``(i, j, n)``: for k under n, ``a[i + k] == b[j + k]``. They hold all values that both rising lists have.
-
-    Both lists have the same last value.
+            self.forget()
+        segments, counts = [], []
+        for text in texts:
+            # the letter of the blank itself is never given back
+            found = re.findall(" +[^ ]*", " " + text) if text and SPACE not in text else []
+            segments += found
+            counts.append(len(found))
+        new = set(segments).difference(self.known)
+        if new:
+            self._learn(list(new))
+        slots = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        sizes = self.starts[slots + 1] - self.starts[slots]
+        ids = self.flat[_places(self.starts[slots], sizes)].astype(np.int64)
+        cuts = np.append(0, np.cumsum(counts)).astype(np.int64)
+        wrong = np.diff(np.append(0, np.cumsum(~self.true[slots]))[cuts])
+        return ids, np.diff(np.append(0, np.cumsum(sizes))[cuts]), (wrong == 0) & (np.diff(cuts) > 0)
+
+
+def shared_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """Runs ``(i, j, n)``, as three lists: for k under n, ``a[i + k] == b[j + k]``. They hold all values of both lists.
+
+    Both lists rise and have the same last value.
     """
     size = len(a)
     a, b = [*a, -1], [*b, -2]  # unequal ends, so no probe passes them
-    runs = []
+    at_a, at_b, lengths = [], [], []
     i = j = 0
     while i < size:
         x, y = a[i], b[j]
@@ -113,8 +158,10 @@ def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
                 j += 1
                 y = b[j]
         n = 1
-        if a[i + 1] == b[j + 1]:
-            n = step = 2
+        while n < 8 and a[i + n] == b[j + n]:
+            n += 1
+        if n == 8:
+            step = 8
             while a[i + n:i + n + step] == b[j + n:j + n + step]:
                 n += step
                 step *= 2
@@ -122,40 +169,35 @@ def shared_ends(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
                 step //= 2
                 if a[i + n:i + n + step] == b[j + n:j + n + step]:
                     n += step
-        runs.append((i, j, n))
+        at_a.append(i)
+        at_b.append(j)
+        lengths.append(n)
         i += n
         j += n
-    return runs
+    return at_a, at_b, lengths
 
 
-def last_tokens(runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+def last_tokens(runs: tuple[list[int], list[int], list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Place of the last token of every group, in either list."""
-    i, j, n = np.array(runs, np.int64).T
-    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(i, n) + inside, np.repeat(j, n) + inside
+    i, j, n = (np.array(x, np.int64) for x in runs)
+    return _places(i, n), _places(j, n)
 
 
 class Aligner:
     """Token ids of both sides to groups and links."""
 
-    def __init__(self, a_tokens: list[bytes], b_tokens: list[bytes]):
-        self.a_tokens, self.b_tokens = a_tokens, b_tokens
-        self.a_sizes = np.array([len(t) for t in a_tokens], np.int64)
-        self.b_sizes = np.array([len(t) for t in b_tokens], np.int64)
+    def __init__(self, a_table: Table, b_table: Table):
+        self.a_table, self.b_table = a_table, b_table
         # decimal ids with what follows them: another id of the side, the end of a side, the end of a group
-        self.many = max(len(a_tokens), len(b_tokens))
-        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.many)]
-
-    def same_bytes(self, data: bytes, a: list[int], b: list[int]) -> bool:
-        return (b"".join(map(self.a_tokens.__getitem__, a)) == data
-                and b"".join(map(self.b_tokens.__getitem__, b)) == data)
+        self.many = max(len(a_table.sizes), len(b_table.sizes))
+        self.written = Table([f"{i}{mark}".encode() for mark in ",|;" for i in range(self.many)])
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the last token of each group on either side."""
-        return last_tokens(shared_ends(np.cumsum(self.a_sizes[a]).tolist(), np.cumsum(self.b_sizes[b]).tolist()))
+        return last_tokens(shared_ends(np.cumsum(self.a_table.sizes[a]).tolist(), np.cumsum(self.b_table.sizes[b]).tolist()))
 
-    def text(self, a: np.ndarray, b: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
+    def digests(self, a: np.ndarray, b: np.ndarray, a_last: np.ndarray, b_last: np.ndarray, ends: np.ndarray) -> list[str]:
+        """SHA-256 of ``a1,a2|b1;a3|b2,b3``, the ids of each group, of every text; ``ends`` counts tokens up to each."""
         codes = np.empty(len(a) + len(b), np.int64)
         # tokens stand group by group, those of the first side in front
         a_place = np.arange(len(a)) + np.repeat(np.append(0, b_last[:-1] + 1), np.diff(a_last, prepend=-1))
@@ -163,7 +205,19 @@ class Aligner:
         codes[a_place], codes[b_place] = a, b
         codes[a_place[a_last]] += self.many
         codes[b_place[b_last]] += 2 * self.many
-        return "".join(map(self.written.__getitem__, codes.tolist()))[:-1]
+        found, current, ends = [], hashlib.sha256(), ends.tolist()
+        for at in range(0, len(codes), WRITTEN):
+            block = codes[at:at + WRITTEN]
+            letters = memoryview(self.written.joined(block))
+            cuts = np.append(0, np.cumsum(self.written.sizes[block]))
+            start = 0
+            while len(found) < len(ends) and ends[len(found)] <= at + len(block):
+                stop = int(cuts[ends[len(found)] - at])
+                current.update(letters[start:stop - 1])  # without the mark behind the last group
+                found.append(current.hexdigest())
+                current, start = hashlib.sha256(), stop
+            current.update(letters[start:])
+        return found
 
 
 _WORKER: dict[tuple[int, str], tuple[Pieces, Aligner]] = {}
@@ -176,7 +230,7 @@ def _worker(spec: str, b_path: str) -> tuple[Pieces, Aligner]:
         _WORKER.clear()
         pieces = Pieces(b_path)
         vocabulary = encoder(spec).tokenizer.get_vocab(with_added_tokens=True)
-        _WORKER[key] = pieces, Aligner(byte_level_tokens(vocabulary), pieces.bytes)
+        _WORKER[key] = pieces, Aligner(Table(byte_level_tokens(vocabulary)), pieces.table)
     return _WORKER[key]
 
 
@@ -194,27 +248,31 @@ def _aligned_chunk(texts: pa.Array, spec: str, b_path: str) -> tuple[list[tuple]
     """
     pieces, aligner = _worker(spec, b_path)
     blank = pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type))
-    rows, links = [], []
-    for text, a in zip(texts.to_pylist(), encoded(blank, spec)):
-        data = b" " + text.encode()
-        listed = pieces.encode(text) if text else []
-        if not text or not aligner.same_bytes(data, a.tolist(), listed):
-            rows.append((0, 0, 0, "", None))
-            continue
-        b = np.array(listed, np.int64)
-        a = a.astype(np.int64)
+    lists = list(encoded(blank, spec))
+    a, n_a = np.concatenate([*lists, np.zeros(0, np.uint32)]).astype(np.int64), np.array([len(x) for x in lists], np.int64)
+    b, n_b, true = pieces.encode(texts.to_pylist())
+    # bytes of each text with its blank, as the text and as the first side's ids have it
+    sizes = pc.binary_length(blank).to_numpy(zero_copy_only=False)
+    of_a = np.diff(np.append(0, np.cumsum(aligner.a_table.sizes[a]))[np.append(0, np.cumsum(n_a))])
+    true &= of_a == sizes
+    for i in np.flatnonzero(true):  # what ids give back has the right length; now letter by letter
+        true[i] = np.array_equal(aligner.a_table.joined(lists[i]), np.frombuffer(blank[int(i)].as_buffer(), np.uint8))
+    a, b = a[np.repeat(true, n_a)], b[np.repeat(true, n_b)]
+    n_a, n_b, n_groups = n_a * true, n_b * true, np.zeros(len(true), np.int64)
+    digests = iter([])
+    if true.any():
+        # texts that stand one after the other end together, so they are aligned in one walk
         a_last, b_last = aligner.align(a, b)
-        links.append(a[a_last] << 32 | b[b_last])
-        rows.append((len(a), len(b), len(a_last),
-                     hashlib.sha256(aligner.text(a, b, a_last, b_last).encode()).hexdigest(), b""))
-    together = np.concatenate(links) if links else np.zeros(0, np.int64)
-    pairs, places, counts = np.unique(together, return_inverse=True, return_counts=True)
+        token_ends = np.cumsum((n_a + n_b)[true])
+        n_groups[true] = np.diff(np.searchsorted(a_last, np.cumsum(n_a[true])), prepend=0)
+        digests = iter(aligner.digests(a, b, a_last, b_last, token_ends))
+        a, b = a[a_last], b[b_last]
+    pairs, places, counts = np.unique(a << 32 | b, return_inverse=True, return_counts=True)
     places = places.astype(np.uint16 if len(pairs) <= 1 << 16 else np.uint32)
-    at, out = 0, []
-    for row in rows:
-        out.append((*row[:4], places[at:at + row[2]].tobytes() if row[4] is not None else None))
-        at += row[2]
-    return out, pairs, counts
+    cuts = np.append(0, np.cumsum(n_groups))
+    rows = [(x, y, g, next(digests), places[lo:hi].tobytes()) if good else (0, 0, 0, "", None)
+            for good, x, y, g, lo, hi in zip(true.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist(), cuts.tolist(), cuts[1:].tolist())]
+    return rows, pairs, counts
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], spec: str, b_path: str) -> Iterator[pa.RecordBatch]:
@@ -274,7 +332,7 @@ def alignment(docs: DataFrame, a_path: str = A_PATH, b_path: str = B_PATH) -> Da
     Texts that are null or empty, or whose tokens do not give back their bytes with a blank in front on both sides, have
     zeros and an empty ``groups_sha256``. Every row counts, also repeated ones and those without ``doc_id``. Further
     columns are ignored; an empty table gives an empty table. A task holds about a hundred bytes a byte of one chunk,
-    which is 4 MB or one longer text.
+    which is 2 MB or one longer text.
     """
     table = aligned(docs, a_path, b_path)
     chunks = table.where("pairs IS NOT NULL").select("chunk", F.inline(F.arrays_zip("pairs", "counts")).alias("pair", "n"))
