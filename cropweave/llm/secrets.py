@@ -54,7 +54,7 @@ def _matches(text: Column, pattern: str, least: int, kind: str, rank: int) -> Co
 
 
 def _count(char: Column, window: Column) -> Column:
-    return F.length(window) - F.length(F.replace(window, char, F.lit("")))
+    return F.size(F.filter(window, lambda c: c == char))
 
 
 def _weight(n: Column) -> Column:
@@ -63,23 +63,30 @@ def _weight(n: Column) -> Column:
 
 
 def entropy_bounds(value: Column, least: Column, window: int = WINDOW) -> Column:
-    """``(first, last)``: start of the first and end of the last window of ``value`` with ``least`` bits or more."""
+    """``(first, last)``: start of the first and end of the last window of ``value`` with ``least`` bits or more.
+
+    The characters are an array, made once, so a step looks at one window and its time does not depend on the length.
+    """
     start = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
 
-    def step(state: Column, i: Column) -> Column:
-        leaving = F.substring(value, i - window + 1, F.lit(1))
-        n = _count(leaving, F.substring(value, i - window + 1, F.lit(window)))
-        total = state["sum"] - F.when(i >= window, _weight(n) - _weight(n - 1)).otherwise(F.lit(0.0))
-        inside = F.substring(value, F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)))
-        m = _count(F.substring(value, i + 1, F.lit(1)), inside)
-        total = total + _weight(m + 1) - _weight(m)
-        # sums of logarithms in another order may differ in the last bits
-        over = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least - 1e-9)
-        return F.struct(total.alias("sum"),
-                        F.when(over & (state["first"] < 0), i - window + 1).otherwise(state["first"]).alias("first"),
-                        F.when(over, i + 1).otherwise(state["last"]).alias("last"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), start, step)
+    def walk(chars: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            leaving = F.get(chars, i - window)
+            n = _count(leaving, F.slice(chars, F.greatest(i - window + 1, F.lit(1)), F.lit(window)))
+            total = state["sum"] - F.when(i >= window, _weight(n) - _weight(n - 1)).otherwise(F.lit(0.0))
+            inside = F.slice(chars, F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)))
+            m = _count(F.get(chars, i), inside)
+            total = total + _weight(m + 1) - _weight(m)
+            # sums of logarithms in another order may differ in the last bits
+            over = (i >= window - 1) & (F.lit(math.log2(window)) - total / window >= least - 1e-9)
+            return F.struct(total.alias("sum"),
+                            F.when(over & (state["first"] < 0), i - window + 1).otherwise(state["first"]).alias("first"),
+                            F.when(over, i + 1).otherwise(state["last"]).alias("last"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step)
+
+    # a lambda variable is evaluated once, an expression inside the lambda at every step
+    return F.get(F.transform(F.array(F.split(value, "")), walk), 0)
 
 
 def _entropy_spans(candidates: Column, base: Column) -> Column:

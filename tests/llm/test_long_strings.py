@@ -1,0 +1,43 @@
+"""Strings without blanks of any length cost time in proportion to their length."""
+
+import math
+import random
+import string
+import time
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from cropweave.llm import secrets
+
+
+def brute_bounds(value, least, window=secrets.WINDOW):
+    over = [i for i in range(len(value) - window + 1)
+            if -sum(n / window * math.log2(n / window) for n in Counter(value[i:i + window]).values()) >= least - 1e-9]
+    return (over[0], over[-1] + window) if over else (-1, -1)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bounds_of_long_strings(shared, seed):
+    rng = random.Random(seed)
+    value = "".join(rng.choice(rng.choice(["ab01", string.ascii_letters + string.digits])) for _ in range(400))
+    got = shared.createDataFrame([(value,)], "v string").select(secrets.entropy_bounds(F.col("v"), F.lit(3.3)).alias("b")).first().b
+    assert (got["first"], got["last"]) == brute_bounds(value, 3.3)
+
+
+def test_time_grows_with_the_length(shared):
+    rng = random.Random(1)
+
+    def seconds(n):
+        value = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=n))
+        frame = shared.createDataFrame([(1, f"data {value} end")], "doc_id long, text string")
+        started = time.perf_counter()
+        spans = secrets.scan(frame).first().spans
+        assert spans == f"entropy_base64:5:{n + 5}"
+        return time.perf_counter() - started
+
+    seconds(1_000)
+    short, long = seconds(50_000), seconds(200_000)
+    assert long < 8 * short + 2
+    assert seconds(1_000_000) < 120
