@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cropweave.functions import urls
+from cropweave.functions import markup, urls
 from cropweave.functions.jsonio import is_json_object, repair_array, strip_fences
 from cropweave.functions.text import split_values, strip, year_cell
 from cropweave.operators.columns import conform
@@ -63,6 +63,25 @@ def html_links(pages: DataFrame, url: str = "url", html: str = "html", suffix: s
     rows = rows.select(*keep, "link_pos", F.col("link.source").alias("link_source"),
                        urls.unescape_html("link.raw").alias("raw"), urls.unescape_html("link.text").alias("link_text"),
                        urls.unescape_html("link.title").alias("link_title"))
+    return _targets(rows, keep, url, suffix)
+
+
+def nested_links(pages: DataFrame, url: str = "url", html: str = "html", suffix: str = ".pdf") -> DataFrame:
+    """``html_links`` by a stack of open elements: the text of a link is all of it, also that of elements inside it.
+
+    For markup whose links hold others of their kind; ``html_links`` ends a text there and needs no Python.
+    """
+    keep = [c for c in pages.columns if c != html]
+    hits = pages.where(F.contains(F.lower(html), F.lit(suffix.lower()))) if suffix else pages
+    rows = hits.select(*keep, F.posexplode(markup.links_of(html)).alias("link_pos", "link")).select(
+        *keep, "link_pos", F.col("link.source").alias("link_source"), F.col("link.raw").alias("raw"),
+        F.col("link.text").alias("link_text"), F.col("link.title").alias("link_title"))
+    return _targets(rows, keep, url, suffix)
+
+
+def _targets(rows: DataFrame, keep: Sequence[str], url: str, suffix: str) -> DataFrame:
+    """Links whose ``href`` ends in the suffix, or whose ``onclick`` quotes a text that holds it, with their whole URL."""
+    wanted = suffix.lower()
     quoted = rf"""["']([^"']*{_literal(suffix)}[^"']*)["']"""
     target = (F.when(F.col("link_source") == "href", F.when(F.lower("raw").endswith(wanted) & (F.col("raw") != ""), F.col("raw")))
               .otherwise(F.nullif(F.regexp_extract("raw", quoted, 1), F.lit(""))))
@@ -87,6 +106,17 @@ def table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(*keep, F.posexplode(F.transform(rows, cells)).alias("row_pos", "cells"))
 
 
+def nested_table_cells(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``table_cells`` by a stack of open elements, for tables in cells and cells and rows without an end tag.
+
+    Page columns but the HTML, table (number as it begins), parent (table it stands in, -1 for none), row_pos, cells. The
+    text of a cell is its own, without that of tables inside it.
+    """
+    keep = [c for c in pages.columns if c != html]
+    rows = pages.select(*keep, F.explode(markup.table_rows_of(html)).alias("r"))
+    return rows.select(*keep, "r.table", "r.parent", F.col("r.row").alias("row_pos"), "r.cells")
+
+
 def registry_rows(table: DataFrame, cells: str = "cells", row_pos: str = "row_pos") -> DataFrame:
     """One row per variety named in a portal table row; the header and rows under 5 cells are skipped."""
     keep = [c for c in table.columns if c not in (cells, row_pos)]

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from cropweave.functions.jsonio import path_column
 from cropweave.functions.text import UNKNOWN, name_features, strip, title_case
-from cropweave.operators import duplicates
+from cropweave.operators import duplicates, search
 from cropweave.operators.columns import missing_paths, project_paths, resolves, trim_strings
 from cropweave.operators.ordering import with_position, with_sequential_id
 from cropweave.operators.quality import orphans
 from cropweave.operators.stats import column_profile
 from cropweave.session import stage_table
+from cropweave.sources import versions
 from cropweave.sources.writers import schema_document, write_csv, write_json, write_parquet
 
 ANALYSIS = ("analysis_result.variety_analysis.variety_name", "analysis_result.variety_identification.variety_name")
@@ -127,6 +128,23 @@ def run(enriched: DataFrame, out: str, run_ts: str, position: str = "src_pos", f
     return published
 
 
+#: Published columns that searches look up and filter on.
+SEARCHED = {"crop": "crop_type", "institution": "development_institution"}
+
+
+def publish(enriched: DataFrame, root: str, run_ts: str, position: str = "src_pos", features_from: str = "raw") -> dict:
+    """``run`` into a version of its own, with the tolerance details and the search index; returns the commit.
+
+    Readers see all of it or, if the run ends half-way, all of the version before (``versions.read_version``).
+    """
+    def write(folder: str) -> None:
+        published = run(enriched, folder, run_ts, position, features_from)
+        search.write_index(published, f"{folder}/search_index", "variety_id", SEARCHED, SEARCHED)
+        write_parquet(tolerance_details(enriched, position), f"{folder}/details")
+
+    return versions.publish(root, run_ts, write)
+
+
 def tolerance_details(enriched: DataFrame, variety_id: str, profile: str = "analysis_result.stress_tolerance_profile",
                       confidence: str | None = None) -> DataFrame:
     """Child table: one row per variety and stress type with a known level."""

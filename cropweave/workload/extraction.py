@@ -64,6 +64,37 @@ def table_rows(spark: SparkSession, d: str) -> DataFrame:
     return rows.drop("row_pos", "value_pos")
 
 
+@query("nested_table_rows", """
+SELECT c_custkey, 1 AS "table", 0 AS parent, '1' AS sl_no, c_mktsegment AS crop_name, '2016' AS year, '' AS variety_count, 'Punjab' AS state, unnest([c_name, 'IR 64']) AS variety_name FROM customer
+UNION ALL SELECT c_custkey, 1, 0, '2', c_mktsegment, '2017', '', 'Goa', 'HD ' || c_custkey FROM customer
+UNION ALL SELECT c_custkey, 2, -1, '9', c_mktsegment, '2018', '', 'Bihar', 'last ' || c_nationkey FROM customer""")
+def nested_table_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Tables in a cell, cells and rows without end tags, an unclosed table, written from every customer."""
+    key = F.col("c_custkey").cast("string")
+    html = F.concat(
+        F.lit("<table><tr><td>outer <!-- <td> --> <TABLE class='a>b'><tr><th>no<th>crop</th><tr><td>1<td>"), "c_mktsegment",
+        F.lit("<td>2016</td><td> Punjab <td>"), "c_name", F.lit(", IR&nbsp;64<tr><td>2<td>"), "c_mktsegment", F.lit("<td>2017<td>Goa<td><b>HD</b> "), key,
+        F.lit("</table> rest<td>short</table><script>'<table>'</script><table><tr><th>h</th></tr><tr><td>9</td><td>"), "c_mktsegment",
+        F.lit("</td><td>2018</td><td>Bihar</td><td>last "), F.col("c_nationkey").cast("string"))
+    pages = spread(read_table(spark, d, "customer")).select("c_custkey", html.alias("html"))
+    rows = extract.registry_rows(extract.nested_table_cells(pages))
+    return rows.drop("row_pos", "value_pos").withColumn("variety_name", F.replace("variety_name", F.lit("\u00a0"), F.lit(" ")))
+
+
+@query("nested_links", """
+SELECT c_custkey, 'http://m.example.org/get/' || c_custkey || '.pdf' AS link_url, 'Minutes' || c_name || 'of' || c_mktsegment || 'end' AS link_text, 't' AS link_title, 'onclick' AS link_source FROM customer
+UNION ALL SELECT c_custkey, 'http://m.example.org/in.pdf', c_name || 'of' || c_mktsegment, '', 'href' FROM customer
+UNION ALL SELECT c_custkey, 'http://m.example.org/a/b/open.PDF', 'first', '', 'href' FROM customer
+UNION ALL SELECT c_custkey, 'http://m.example.org/a/b/next.pdf', 'second & last', '', 'href' FROM customer""")
+def nested_links(spark: SparkSession, d: str) -> DataFrame:
+    """Clickable elements that hold elements of their kind and links without an end, written from every customer."""
+    key = F.col("c_custkey").cast("string")
+    html = F.concat(F.lit("<div onclick=\"open('/get/"), key, F.lit(".pdf')\" title=t> Minutes <div><a href=/in.pdf> "), "c_name",
+                    F.lit(" <div>of</div> "), "c_mktsegment", F.lit("</a></div> end</div><p><a href='open.PDF'>first<a href=\"next.pdf\">second &amp; last"))
+    pages = spread(read_table(spark, d, "customer")).select("c_custkey", F.lit("http://m.example.org/a/b/index.html").alias("url"), html.alias("html"))
+    return extract.nested_links(pages).select("c_custkey", "link_url", "link_text", "link_title", "link_source")
+
+
 def order_replies(spark: SparkSession, d: str) -> DataFrame:
     """One reply per order, in the eight shapes replies come in."""
     key = F.col("o_orderkey").cast("string")

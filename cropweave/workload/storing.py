@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cropweave.operators import quality, search
+from cropweave.operators import quality, search, similar_sets, stats
 from cropweave.plans import enrichment, publication, registries
 from cropweave.session import shared_folder
 from cropweave.sources import readers, versions, writers
@@ -253,3 +253,58 @@ def search_index(spark: SparkSession, d: str) -> DataFrame:
         rows = frame.select(F.lit(name).alias("search"), F.col("id").alias("doc_id"))
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query("grown_profile", """
+WITH h AS (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS o_orderstatus, CASE WHEN o_orderkey % 3 < 2 THEN o_custkey END AS o_custkey FROM orders)
+SELECT 'o_orderkey' AS column_name, 'bigint' AS dtype, count(*) - count(o_orderkey) AS missing_values, true AS close FROM h
+UNION ALL SELECT 'o_orderstatus', 'string', count(*) - count(o_orderstatus), true FROM h
+UNION ALL SELECT 'o_custkey', 'bigint', count(*) - count(o_custkey), true FROM h""")
+def grown_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Profile of orders that come in three batches, one of them twice and one without a column; distinct values are close to exact."""
+    path = new_folder(spark)
+    orders = read_table(spark, d, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("o_orderstatus"), "o_custkey")
+    for batch in (0, 1, 1):
+        stats.add_batch(orders.where(F.col("o_orderkey") % 3 == batch), path, f"b{batch}")
+    stats.add_batch(orders.where("o_orderkey % 3 = 2").drop("o_custkey"), path, "b2")
+    grown = stats.grown_profile(spark.read.parquet(path))
+    kept = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 < 2, F.col("o_custkey")))
+    exact = stats.unique_counts(kept, kept.columns).withColumnRenamed("unique_values", "exact")
+    # four standard errors
+    return grown.join(exact, "column_name").select("column_name", "dtype", "missing_values", (
+        F.abs(F.col("unique_values") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.033 * F.col("exact"))).alias("close"))
+
+
+_WORD_SETS = r"""
+k AS (SELECT DISTINCT lower(trim(regexp_replace(p_name || ' ' || p_brand, '\W', ' ', 'g'))) AS a,
+             lower(trim(regexp_replace(p_type || ' ' || p_brand || ' ' || string_split(p_name, ' ')[-1] || ' ' || string_split(p_name, ' ')[1], '\W', ' ', 'g'))) AS b FROM part),
+l AS (SELECT DISTINCT a AS left_key, list_distinct(list_filter(string_split(a, ' '), lambda x: x <> '')) AS x FROM k),
+r AS (SELECT DISTINCT b AS right_key, list_distinct(list_filter(string_split(b, ' '), lambda x: x <> '')) AS y FROM k)"""
+
+
+@query("similar_sets", f"""WITH {_WORD_SETS},
+p AS (SELECT left_key, right_key, CAST(len(list_intersect(x, y)) AS BIGINT) AS shared, CAST(len(list_distinct(x || y)) AS BIGINT) AS weight FROM l, r)
+SELECT *, round(shared / CAST(weight AS DOUBLE), 6) AS similarity FROM p WHERE 100 * shared >= 75 * weight""")
+def similar_names(spark: SparkSession, d: str) -> DataFrame:
+    """Part names against names with the same words in another order and one word more."""
+    parts = read_table(spark, d, "part")
+    words = F.split("p_name", " ")
+    swapped = F.concat_ws(" ", "p_type", "p_brand", F.element_at(words, -1), F.element_at(words, 1))
+    found = similar_sets.similar_sets(parts.select(F.concat_ws(" ", "p_name", "p_brand").alias("a")), parts.select(swapped.alias("b")),
+                                      left_name="a", right_name="b", percent=75)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("published_version", """
+SELECT count(*) AS input_rows, true AS all_tables, true AS found_by_index FROM part""")
+def published_version(spark: SparkSession, d: str) -> DataFrame:
+    """The whole publication in a version: its tables belong together, and its index finds the rows of a crop."""
+    root = new_folder(spark)
+    commit = publication.publish(enriched_parts(spark, d), root, RUN_TS)
+    tables = {"catalogue", "details", "search_index", "summary_report", "duplicates_analysis", "classified"} <= set(commit["tables"])
+    folder = versions.version_folder(root)
+    published = versions.read_version(spark, root, "catalogue")
+    by_index = search.search_index(spark, f"{folder}/search_index", crop="Small").agg(F.count("*")).scalar()
+    by_scan = published.where("crop_type = 'Small'").agg(F.count("*")).scalar()
+    return spark.read.parquet(f"{folder}/classified").agg(F.count("*").alias("input_rows")).select(
+        "input_rows", F.lit(tables).alias("all_tables"), (by_index == by_scan).alias("found_by_index"))
