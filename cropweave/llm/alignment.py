@@ -36,7 +36,7 @@ B_PATH = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of text whose links share one list.
 CHUNK = 2 << 20
 #: Segments whose ids a worker remembers for the second tokenizer; beyond it starts anew.
-MEMORY = 400_000
+MEMORY = 1_000_000
 #: Tokens that are written out at once.
 WRITTEN = 1 << 18
 SPACE = "▁"
@@ -83,11 +83,40 @@ def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
+class Keys:
+    """Slots by 64-bit key. New keys go to a small table, which is merged into the large one when it has grown."""
+
+    def __init__(self) -> None:
+        self.large = self.small = (W.SortedHashes(np.zeros(0, np.uint64)), np.zeros(0, np.int64))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where it is missing."""
+        out = np.full(len(keys), -1, np.int64)
+        for table, slots in (self.large, self.small):
+            open_ones = np.flatnonzero(out < 0)
+            if len(slots) and len(open_ones):
+                at = table.find(keys[open_ones])
+                out[open_ones] = np.where(at < 0, -1, slots[at])
+        return out
+
+    def add(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Add keys in ascending order that no table has."""
+        self.small = self._merged(self.small, keys, slots)
+        if len(self.small[1]) > max(1 << 16, len(self.large[1]) // 8):
+            self.large = self._merged(self.large, self.small[0].keys, self.small[1])
+            self.small = (W.SortedHashes(np.zeros(0, np.uint64)), np.zeros(0, np.int64))
+
+    @staticmethod
+    def _merged(table: tuple, keys: np.ndarray, slots: np.ndarray) -> tuple[W.SortedHashes, np.ndarray]:
+        where = np.searchsorted(table[0].keys, keys)
+        return W.SortedHashes(np.insert(table[0].keys, where, keys)), np.insert(table[1], where, slots)
+
+
 class Pieces:
     """Ids of texts by a piece tokenizer that adds a blank in front.
 
     Where no piece goes on with a blank after another character, runs of blanks with what follows them are encoded on
-    their own: the new ones of a chunk at once, and a worker remembers them.
+    their own: the new ones of a chunk at once, and a worker remembers them by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -99,7 +128,7 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Keys()
         self.starts, self.flat, self.true = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
 
     def _learn(self, segments: list[str]) -> None:
@@ -110,33 +139,42 @@ class Pieces:
         ends = np.cumsum([len(x) for x in lists])
         letters, cuts = self.table.joined(ids).tobytes(), np.append(0, np.cumsum(self.table.sizes[ids]))[np.append(0, ends)].tolist()
         true = [letters[a:b] == s.encode() for s, a, b in zip(segments, cuts, cuts[1:])]
-        self.known.update(zip(segments, range(len(self.true), len(self.true) + len(segments))))
         self.starts = np.append(self.starts, self.starts[-1] + ends)
         self.flat, self.true = np.append(self.flat, ids), np.append(self.true, true)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts, how many each has, and whether they give back the text with a blank in front."""
+    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, how many each has, and whether they give back the text; ``data`` has the texts with their blanks."""
         if not self.apart:
-            lists = [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
-            true = [bool(t) and self.table.joined(ids).tobytes() == b" " + t.encode() for t, ids in zip(texts, lists)]
+            texts = [data[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])]
+            lists = [np.array(ids, np.int64) for ids in self.model.encode([t[1:] for t in texts], num_threads=1)]
+            true = [self.table.joined(ids).tobytes() == t.encode() for t, ids in zip(texts, lists)]
             return np.concatenate([*lists, np.zeros(0, np.int64)]), np.array([len(x) for x in lists], np.int64), np.array(true, bool)
-        if len(self.known) > MEMORY:
+        if len(self.true) > MEMORY:
             self.forget()
-        segments, counts = [], []
-        for text in texts:
-            # the letter of the blank itself is never given back
-            found = re.findall(" +[^ ]*", " " + text) if text and SPACE not in text else []
-            segments += found
-            counts.append(len(found))
-        new = set(segments).difference(self.known)
-        if new:
-            self._learn(list(new))
-        slots = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        blank = data == 32
+        begins = blank.copy()
+        begins[1:] &= ~blank[:-1]
+        begins[bounds[:-1]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        up, down = W._power_tables(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(W.CODES[data] * up[:len(data)], out=sums[1:])
+        keys = W.mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        slots = self.known.find(keys)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new, at = np.unique(keys[missing], return_index=True)
+            at = missing[at]
+            first = len(self.true)
+            self._learn([data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            self.known.add(new, np.arange(first, first + len(new)))
+            slots[missing] = self.known.find(keys[missing])
         sizes = self.starts[slots + 1] - self.starts[slots]
         ids = self.flat[_places(self.starts[slots], sizes)].astype(np.int64)
-        cuts = np.append(0, np.cumsum(counts)).astype(np.int64)
+        cuts = np.searchsorted(starts, bounds)
         wrong = np.diff(np.append(0, np.cumsum(~self.true[slots]))[cuts])
-        return ids, np.diff(np.append(0, np.cumsum(sizes))[cuts]), (wrong == 0) & (np.diff(cuts) > 0)
+        return ids, np.diff(np.append(0, np.cumsum(sizes))[cuts]), wrong == 0
 
 
 def shared_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int]]:
@@ -250,13 +288,16 @@ def _aligned_chunk(texts: pa.Array, spec: str, b_path: str) -> tuple[list[tuple]
     blank = pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type))
     lists = list(encoded(blank, spec))
     a, n_a = np.concatenate([*lists, np.zeros(0, np.uint32)]).astype(np.int64), np.array([len(x) for x in lists], np.int64)
-    b, n_b, true = pieces.encode(texts.to_pylist())
     # bytes of each text with its blank, as the text and as the first side's ids have it
     sizes = pc.binary_length(blank).to_numpy(zero_copy_only=False)
+    bounds = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    data = np.frombuffer(b"".join(x.as_buffer() for x in blank), np.uint8)
+    b, n_b, true = pieces.encode(data, bounds)
+    true &= sizes > 1
     of_a = np.diff(np.append(0, np.cumsum(aligner.a_table.sizes[a]))[np.append(0, np.cumsum(n_a))])
     true &= of_a == sizes
     for i in np.flatnonzero(true):  # what ids give back has the right length; now letter by letter
-        true[i] = np.array_equal(aligner.a_table.joined(lists[i]), np.frombuffer(blank[int(i)].as_buffer(), np.uint8))
+        true[i] = np.array_equal(aligner.a_table.joined(lists[i]), data[bounds[i]:bounds[i + 1]])
     a, b = a[np.repeat(true, n_a)], b[np.repeat(true, n_b)]
     n_a, n_b, n_groups = n_a * true, n_b * true, np.zeros(len(true), np.int64)
     digests = iter([])
