@@ -39,8 +39,9 @@ from cropweave.session import stage_table
 GRAM_BUCKETS = 8_192
 # Keys of either side that meet in one cell of a common signature.
 CELL_KEYS = 4_096
-# Texts that may be left of one key of a short pair, and the distance of the bounds of two rounds.
-VARIANTS = 1_024
+# Texts that may be left of one key of a short pair: at most, at least, and for how many left keys of a block one more.
+VARIANTS, LEAST_VARIANTS, KEYS_A_VARIANT = 1_024, 16, 16
+# The distance of the bounds of two rounds.
 ROUND = 10
 # Below this length an unequal pair scores at most 99, so an equal key cannot be tied.
 EXACT_IS_BEST = 99
@@ -66,13 +67,13 @@ def _least_lcs(total: int, t: float) -> int:
     return ceil(total * t - 1e-9)
 
 
-def _short_total(t: float) -> int:
-    """The largest sum of two lengths up to which no key of a pair has more than ``VARIANTS`` texts left of it."""
+def _short_total(t: float, variants: int) -> int:
+    """The largest sum of two lengths up to which no key of a pair has more than ``variants`` texts left of it."""
     total = 1
     while True:
         kept = _least_lcs(total + 1, t)
         # the longest key of such a pair has a partner of just the letters that must stay
-        if comb(total + 1 - kept, kept) > VARIANTS:
+        if comb(total + 1 - kept, kept) > variants:
             return total
         total += 1
 
@@ -131,14 +132,19 @@ def _gram_frequency(keys: DataFrame, t: float) -> DataFrame:
     return dense.agg(F.transform(ordered, lambda x: x["n"]).alias("frequency"))
 
 
-def joined_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: DataFrame | None = None) -> DataFrame:
     """Pairs that meet, once for each signature they share, from two frames of distinct (scope, block, key).
 
-    ``kept`` is the number of letters left of both keys of a short pair, -1 for a long pair.
+    ``kept`` is the number of letters left of both keys of a short pair, -1 for a long pair. Up to which length a pair is
+    short is a matter of cost: what is left of a right key is written once for all left keys of its block, while the pairs
+    that meet by letter pairs grow with these, so more left keys allow more. The scored pairs are the same.
+    ``frequency`` is a stored ``_gram_frequency``; it orders letter pairs, and any order finds the same.
     """
     t = (threshold - 0.5) / 200
-    short = _short_total(t)
-    frequency = _gram_frequency(left.unionByName(right), t)
+    largest = left.groupBy("scope", "block").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    short = _short_total(t, min(VARIANTS, max(LEAST_VARIANTS, largest // KEYS_A_VARIANT)))
+    if frequency is None:
+        frequency = stage_table(_gram_frequency(left.unionByName(right), t))
 
     def signed(df: DataFrame, key_name: str) -> DataFrame:
         own = df.select("scope", "block", F.col("key").alias(key_name))
@@ -174,10 +180,10 @@ def joined_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame
         "a.scope", "a.block", "left_key", "right_key", "a.kept", (total - 2 * least_lcs).cast("int").alias("_limit"))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: int = 80, frequency: DataFrame | None = None) -> DataFrame:
     """Scored pairs at or above the threshold from two frames of distinct (scope, block, key)."""
     near = F.call_function("levenshtein", F.col("left_key"), F.col("right_key"), F.greatest("_limit", F.lit(0))) >= 0
-    candidates = (joined_pairs(left, right, threshold).where(F.when(F.col("kept") < 0, near).otherwise(F.lit(True)))
+    candidates = (joined_pairs(left, right, threshold, frequency).where(F.when(F.col("kept") < 0, near).otherwise(F.lit(True)))
                   .select("scope", "block", "left_key", "right_key").distinct())
     return (candidates.withColumn("score", indel_score("left_key", "right_key"))
             .where(F.col("score") >= threshold))
@@ -190,9 +196,14 @@ def falling_bounds(threshold: int) -> list[int]:
 
 def best_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """For each left key all pairs of the first round that finds any; the best ones are among them."""
-    found = []
+    found, orders = [], {}
     for bound in falling_bounds(threshold):
-        pairs = stage_table(similar_pairs(left, right, bound))
+        if found and left.isEmpty():
+            break
+        t = (bound - 0.5) / 200
+        if _uses_pairs(t) not in orders:
+            orders[_uses_pairs(t)] = stage_table(_gram_frequency(left.unionByName(right), t))
+        pairs = stage_table(similar_pairs(left, right, bound, orders[_uses_pairs(t)]))
         found.append(pairs)
         if bound > threshold:
             done = pairs.select("scope", "block", F.col("left_key").alias("key")).distinct()
