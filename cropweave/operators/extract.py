@@ -14,23 +14,41 @@ from cropweave.functions.text import split_values, strip, year_cell
 from cropweave.operators.columns import conform
 
 # The extraction record, group by group.
-DOCUMENT_FIELDS = ("source_document_filename document_id document_date document_publication_date meeting_number "
-                   "meeting_title chairman_name member_secretary meeting_location").split()
-PROCESS_FIELDS = ("extraction_timestamp item_number table_source entry_sequence approval_status decision_date "
-                  "effective_date gazette_notification_reference").split()
-VARIETY_FIELDS = ("crop_category crop_type variety_name variety_code alternate_names hybrid_indicator release_type "
-                  "maturity_group special_traits breeding_method").split()
-GEOGRAPHY_FIELDS = ("recommended_states agro_climatic_zones excluded_areas soil_type_suitability "
-                    "rainfall_requirements temperature_tolerance").split()
-INSTITUTION_FIELDS = ("sponsoring_institution institution_type institution_location principal_investigator "
-                      "collaborating_institutions funding_source development_period testing_locations").split()
-TECHNICAL_FIELDS = ("parent_material breeding_program testing_duration yield_performance quality_parameters "
-                    "disease_resistance pest_tolerance").split()
-REGULATORY_FIELDS = ("notification_requirements seed_sample_submission dna_fingerprinting "
-                     "morphological_characterization package_of_practices intellectual_property_status").split()
-STATUS_FIELDS = ("deferment_reason rejection_reason missing_documents follow_up_action responsible_party").split()
-CONTEXT_FIELDS = ("preceding_context table_caption additional_notes page_reference cross_references "
-                  "historical_context").split()
+DOCUMENT_FIELDS = (
+    "source_document_filename", "document_id", "document_date", "document_publication_date", "meeting_number",
+    "meeting_title", "chairman_name", "member_secretary", "meeting_location",
+)
+PROCESS_FIELDS = (
+    "extraction_timestamp", "item_number", "table_source", "entry_sequence", "approval_status", "decision_date",
+    "effective_date", "gazette_notification_reference",
+)
+VARIETY_FIELDS = (
+    "crop_category", "crop_type", "variety_name", "variety_code", "alternate_names", "hybrid_indicator",
+    "release_type", "maturity_group", "special_traits", "breeding_method",
+)
+GEOGRAPHY_FIELDS = (
+    "recommended_states", "agro_climatic_zones", "excluded_areas", "soil_type_suitability",
+    "rainfall_requirements", "temperature_tolerance",
+)
+INSTITUTION_FIELDS = (
+    "sponsoring_institution", "institution_type", "institution_location", "principal_investigator",
+    "collaborating_institutions", "funding_source", "development_period", "testing_locations",
+)
+TECHNICAL_FIELDS = (
+    "parent_material", "breeding_program", "testing_duration", "yield_performance", "quality_parameters",
+    "disease_resistance", "pest_tolerance",
+)
+REGULATORY_FIELDS = (
+    "notification_requirements", "seed_sample_submission", "dna_fingerprinting",
+    "morphological_characterization", "package_of_practices", "intellectual_property_status",
+)
+STATUS_FIELDS = (
+    "deferment_reason", "rejection_reason", "missing_documents", "follow_up_action", "responsible_party",
+)
+CONTEXT_FIELDS = (
+    "preceding_context", "table_caption", "additional_notes", "page_reference", "cross_references",
+    "historical_context",
+)
 RECORD_FIELDS = (*DOCUMENT_FIELDS, *PROCESS_FIELDS, *VARIETY_FIELDS, *GEOGRAPHY_FIELDS, *INSTITUTION_FIELDS,
                  *TECHNICAL_FIELDS, *REGULATORY_FIELDS, *STATUS_FIELDS, *CONTEXT_FIELDS)
 

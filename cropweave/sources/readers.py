@@ -24,13 +24,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it has fewer splits than cores; else leave it alone.
+    """Deal the rows of a scan out to all cores when it has fewer files than cores; else leave it alone.
 
-    For costly per-row work on a table stored in few row groups. A large table has more splits than cores, so it is
-    never shuffled by this.
+    For costly per-row work on a table stored in few row groups. A large table has more files than cores, so it is never
+    shuffled by this. Only the plan changes.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def with_source_position(rows: DataFrame, column: str = "src_pos") -> DataFrame:
