@@ -165,3 +165,11 @@ def test_repeats_of_a_large_host_do_not_depend_on_the_dealing(shared):
         got = html.extract(pages_frame(shared, rows).repartition(parts, "page_id")).collect()
         assert len(got) == len(rows)
         assert {r.page_id: (r.text, r.n_chars, r.n_left_out) for r in got} == want
+
+
+@pytest.mark.parametrize("markup, want", [
+    ("<p>a b <math><mi>x</mi></math> c</p>", "a b x c"),
+    ("<article><div class='search-results'>r</div><div class='search-box'>s</div><div class='social share'>d</div></article>", "r"),
+    ("<article><p class=related-work>w</p><p class='related-posts'>p</p><p class='form'>f</p><p class='verb-form'>v</p></article>", "w\nv")])
+def test_text_that_names_only_resemble_parts(markup, want):
+    assert html.main_texts([markup])[0][0] == want
