@@ -102,7 +102,7 @@ def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema:
         "source_path", F.lit(None).cast("long").alias("source_pos"), F.lit(None).cast("string").alias("content"),
         F.lit("array is not closed").alias("reason"))
     documents = judged.where(F.col("reason").isNull()).select(
-        "document.*", "source_path", F.coalesce("source_pos", F.lit(0)).cast("int").alias("source_pos"))
+        "document.*", "source_path", F.coalesce("source_pos", F.lit(0)).cast("long").alias("source_pos"))
     return documents, refused.unionByName(unclosed)
 
 

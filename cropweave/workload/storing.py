@@ -42,7 +42,7 @@ def registry_csv(spark: SparkSession, d: str) -> DataFrame:
     cell = lambda c: F.element_at(F.array(*map(F.lit, (" 2015 ", "2016.0", "NaN", "1e12", "text"))), (F.col(c) % 6 + 1).cast("int"))
     year = lambda c: F.when(F.col(c) % 6 < 5, cell(c)).alias("extracted_year")
     customers, suppliers = read_table(spark, d, "customer"), read_table(spark, d, "supplier")
-    writers.write_csv(customers.select(F.col("c_custkey").alias("src_pos"), name("c_custkey").alias("old"), name("c_name"), year("c_custkey"), F.lit("x").alias("crop")).drop("old"), f"{folder}/a")
+    writers.write_csv(customers.select(F.col("c_custkey").alias("src_pos"), name("c_name"), year("c_custkey"), F.lit("x").alias("crop")), f"{folder}/a")
     writers.write_csv(suppliers.select((F.col("s_suppkey") + 10_000_000).alias("src_pos"), name("s_name"), year("s_suppkey"), F.lit("x").alias("crop")), f"{folder}/b")
     both = readers.read_registry_csv(spark, [f"{folder}/a", f"{folder}/b"], _schema(src_pos=_LONG, variety=_TEXT, extracted_year=_TEXT, crop=_TEXT))
     return registries.prepare_left(both.withColumnRenamed("variety", "variety_name")).select("csc_raw_id", "variety_clean", "year_extracted")
