@@ -41,8 +41,8 @@ GRAM_BUCKETS = 8_192
 CELL_KEYS = 4_096
 # Texts that may be left of one key of a short pair: at most, at least, and for how many left keys of a block one more.
 VARIANTS, LEAST_VARIANTS, KEYS_A_VARIANT = 1_024, 16, 16
-# The distance of the bounds of two rounds.
-ROUND = 10
+# The distance of the bounds of two rounds, and from how many left keys of a block on more than one round pays.
+ROUND, ROUND_KEYS = 10, 1_024
 # Below this length an unequal pair scores at most 99, so an equal key cannot be tied.
 EXACT_IS_BEST = 99
 
@@ -132,6 +132,11 @@ def _gram_frequency(keys: DataFrame, t: float) -> DataFrame:
     return dense.agg(F.transform(ordered, lambda x: x["n"]).alias("frequency"))
 
 
+def _largest(keys: DataFrame) -> int:
+    """Keys of the largest block."""
+    return keys.groupBy("scope", "block").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
 def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: DataFrame | None = None) -> DataFrame:
     """Pairs that meet, once for each signature they share, from two frames of distinct (scope, block, key).
 
@@ -141,8 +146,7 @@ def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: D
     ``frequency`` is a stored ``_gram_frequency``; it orders letter pairs, and any order finds the same.
     """
     t = (threshold - 0.5) / 200
-    largest = left.groupBy("scope", "block").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    short = _short_total(t, min(VARIANTS, max(LEAST_VARIANTS, largest // KEYS_A_VARIANT)))
+    short = _short_total(t, min(VARIANTS, max(LEAST_VARIANTS, _largest(left) // KEYS_A_VARIANT)))
     if frequency is None:
         frequency = stage_table(_gram_frequency(left.unionByName(right), t))
 
@@ -195,9 +199,12 @@ def falling_bounds(threshold: int) -> list[int]:
 
 
 def best_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    """For each left key all pairs of the first round that finds any; the best ones are among them."""
+    """For each left key all pairs of the first round that finds any; the best ones are among them.
+
+    A round signs all right keys anew, so few left keys have one round only; the best pairs are the same.
+    """
     found, orders = [], {}
-    for bound in falling_bounds(threshold):
+    for bound in falling_bounds(threshold) if _largest(left) >= ROUND_KEYS else [threshold]:
         if found and left.isEmpty():
             break
         t = (bound - 0.5) / 200

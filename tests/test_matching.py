@@ -59,6 +59,32 @@ def test_best_match_equals_brute_force(spark, monkeypatch, threshold, cell_keys)
     assert any(v[1] is not None for v in want.values()) and any(v[1] is None for v in want.values())
 
 
+@pytest.mark.parametrize("threshold, variants", [(60, 1), (80, 1_024), (80, 60), (95, 1_024), (100, 30)])
+def test_rounds_and_variants_find_the_same(spark, monkeypatch, threshold, variants):
+    """Every way to look for a pair: short pairs of any length, one round and several."""
+    monkeypatch.setattr(matching, "KEYS_A_VARIANT", 1)
+    monkeypatch.setattr(matching, "VARIANTS", variants)
+    rng = random.Random(threshold + variants)
+    word = lambda: "".join(rng.choice("abc d1") for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 7, 9, 12, 25]))).strip() or "a"
+    right = [(i, word(), "x") for i in range(90)]
+    left = [(i, mutate(rng, rng.choice(right)[1]), "x") for i in range(90)]
+    frames = (spark.createDataFrame(left, "id int, n string, c string"), spark.createDataFrame(right, "rid int, rn string, rc string"))
+    want = brute_force(left, right, threshold)
+    for least in (0, 1_000):
+        monkeypatch.setattr(matching, "ROUND_KEYS", least)
+        out = matching.best_matches(*frames, left_name="n", left_block="c", right_name="rn", right_block="rc", right_order=["rid"], threshold=threshold)
+        assert {r.id: (r.score, r.match.rid if r.match else None) for r in out.collect()} == want
+
+
+def test_pairs_that_meet_are_few(spark):
+    """Names of few syllables: the pairs that meet grow far less than the square of the names."""
+    rng = random.Random(2)
+    syllables = ["the", "an", "er", "in", "re", "on", "st", "nd", "ha", "es", "ou", "ed"]
+    names = sorted({"".join(rng.choice(syllables) for _ in range(rng.randint(2, 5))) for _ in range(3_000)})
+    keys = spark.createDataFrame([("block", "x", n) for n in names], "scope string, block string, key string")
+    assert matching.joined_pairs(keys, keys.where("true"), 90).count() < 0.02 * len(names) ** 2
+
+
 def test_registry_edge_rows(spark):
     left = spark.createDataFrame(
         [(1, " PR-124 ", "Rice"), (2, "Pusa Basmati", "RICE"), (3, None, "Wheat"), (4, "", "Wheat"), (5, "HD 3226", "Millet"),
