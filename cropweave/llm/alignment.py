@@ -35,7 +35,7 @@ A_PATH = public_tokenizers.path("byte_bpe_50k.json")
 B_PATH = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of text whose links share one list.
 CHUNK = 2 << 20
-#: Segments whose ids a worker remembers for the second tokenizer; beyond it starts anew.
+#: Segments whose ids a worker remembers for the second tokenizer, some 30 bytes each; beyond it starts anew.
 MEMORY = 1_000_000
 #: Tokens that are written out at once.
 WRITTEN = 1 << 18
