@@ -42,17 +42,3 @@ def test_stages_take_hard_rows(shared, documents):
     for _, stage in pipeline.STAGES[:-1]:
         assert stage(shared, frame, FOLDER).columns == frame.columns
         assert stage(shared, frame.limit(0), FOLDER).collect() == []
-
-
-def test_stages_compose_unwritten(shared):
-    """A result that is handed on unwritten keeps the tables it reads, also when another pipeline goes on meanwhile."""
-    import corpus_pipeline as pipeline
-
-    docs = shared.read.parquet(f"{FOLDER}/documents.parquet")
-    lines, near, clean = pipeline.drop_repeated_lines, pipeline.drop_near_duplicates, pipeline.drop_contaminated
-    lazy = near(shared, lines(shared, docs, FOLDER), FOLDER)
-    other = near(shared, docs, "/root/testdata/sf0.01")
-    written = pipeline.stage_table(near(shared, pipeline.stage_table(lines(shared, docs, FOLDER)), FOLDER))
-    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
-    assert ids(lazy) == ids(written) and other.count() > 0
-    assert ids(clean(shared, lazy, FOLDER)) == ids(clean(shared, written, FOLDER))
