@@ -5,7 +5,8 @@ of the brackets. A first scan (``JsonRanges``) reads the ranges of the files tha
 how it changes that state: whether it holds an odd number of quotes, by how much it changes the depth, and how many commas
 stand at each depth, both for a range that begins outside of a string and for one that begins inside. From these notes,
 one small row a range, the second scan (``JsonElements``) knows the state at the beginning of every range, and the place
-of its first element in the file. The task in whose range an element begins reads on to its end.
+of its first element in the file. The task in whose range an element begins reads on to its end. Short ranges are dealt
+to tasks by many.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from cropweave.session import stage_table
 
 SPLIT = 32 << 20
+#: Bytes of ranges that a task takes, what opening a range counts as, and the tasks of a core, if that makes them smaller.
+TASK, OPENING, WAVES = 32 << 20, 256 << 10, 4
 #: Bytes that arrays are made for at once.
 CHUNK = 8 << 20
 _BLANK = b" \t\n\r"
@@ -111,6 +114,28 @@ class Span(InputPartition):
     place: int = 0
 
 
+@dataclass
+class Spans(InputPartition):
+    """Ranges that one task reads one after the other."""
+
+    spans: list[Span]
+
+
+def dealt(spans: list[Span], tasks: int) -> list[Spans]:
+    """Neighbouring ranges together, up to ``TASK`` bytes and to an equal part for each of ``tasks``."""
+    costs = [s.end - s.at + OPENING for s in spans]
+    most = min(TASK, -(-sum(costs) // tasks))
+    parts: list[Spans] = []
+    held = 0
+    for span, cost in zip(spans, costs):
+        if not parts or held + cost > most:
+            parts.append(Spans([]))
+            held = 0
+        parts[-1].spans.append(span)
+        held += cost
+    return parts
+
+
 def summary(span: Span) -> tuple:
     """``(path, at, kind, begin, odd, depths, commas)``; the last two for a beginning outside and inside of a string.
 
@@ -244,6 +269,20 @@ class _ElementReader(_Reader):
             yield partition.path, place, text, kind
 
 
+class _Dealt(DataSourceReader):
+    """Reads the ranges that another reader plans, many in one task."""
+
+    def __init__(self, ranges: _Reader, options: dict):
+        self.ranges, self.tasks = ranges, int(options["tasks"])
+
+    def partitions(self) -> list[Spans]:
+        return dealt(self.ranges.partitions(), self.tasks)
+
+    def read(self, partition: Spans) -> Iterator[tuple]:
+        for span in partition.spans:
+            yield from self.ranges.read(span)
+
+
 class JsonRanges(DataSource):
     """Notes on the byte ranges of files longer than ``split``; ``files`` is a stored table (source_path, length)."""
 
@@ -254,8 +293,8 @@ class JsonRanges(DataSource):
     def schema(self) -> str:
         return "path string, at long, kind string, begin long, odd boolean, depths string, commas string"
 
-    def reader(self, schema) -> _RangeReader:
-        return _RangeReader(self.options)
+    def reader(self, schema) -> _Dealt:
+        return _Dealt(_RangeReader(self.options), self.options)
 
 
 class JsonElements(DataSource):
@@ -268,8 +307,8 @@ class JsonElements(DataSource):
     def schema(self) -> str:
         return "source_path string, source_pos long, content string, kind string"
 
-    def reader(self, schema) -> _ElementReader:
-        return _ElementReader(self.options)
+    def reader(self, schema) -> _Dealt:
+        return _Dealt(_ElementReader(self.options), self.options)
 
 
 def read_elements(spark: SparkSession, paths: list[str], split: int = SPLIT) -> DataFrame:
@@ -282,7 +321,8 @@ def read_elements(spark: SparkSession, paths: list[str], split: int = SPLIT) ->
         spark.dataSource.register(source)
     found = stage_table(spark.read.format("binaryFile").load(paths).where("length > 0").select(
         F.col("_metadata.file_path").alias("source_path"), "length").coalesce(1).sortWithinPartitions("source_path"))
-    options = {"files": found.inputFiles()[0].rsplit("/", 1)[0] if found.inputFiles() else "", "split": str(split)}
+    options = {"files": found.inputFiles()[0].rsplit("/", 1)[0] if found.inputFiles() else "", "split": str(split),
+               "tasks": str(WAVES * spark.sparkContext.defaultParallelism)}
     if not options["files"]:
         return spark.createDataFrame([], JsonElements(options).schema())
     if not found.where(F.col("length") > split).isEmpty():

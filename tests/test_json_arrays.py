@@ -108,3 +108,25 @@ def test_one_large_array_is_read_by_many_tasks(spark, tmp_path):
     assert len(tasks) == -(-path.stat().st_size // (1 << 19)) > 10 and max(r.n for r in tasks) < 6_000
     row = elements.agg(F.count("*"), F.count_distinct("source_pos"), F.min("source_pos"), F.max("source_pos")).first()
     assert row[:] == (60_000, 60_000, 0, 59_999)
+
+
+def test_short_ranges_share_a_task():
+    spans = [J.Span("f", at, at + 50_000) for at in range(0, 500_000_000, 50_000)]
+    parts = J.dealt(spans, 32)
+    assert [s for p in parts for s in p.spans] == spans
+    assert 32 <= len(parts) < 110 and max(len(p.spans) for p in parts) > 90
+    assert [len(p.spans) for p in J.dealt(spans[:5], 32)] == [1] * 5 and J.dealt([], 32) == []
+    long = [J.Span("f", at, at + J.SPLIT) for at in range(0, 10 * J.SPLIT, J.SPLIT)]
+    assert [len(p.spans) for p in J.dealt(long, 4)] == [1] * 10
+
+
+def test_many_small_files_make_few_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(200):
+        (tmp_path / "in" / f"f{k:03}.json").write_text(json.dumps([{"n": i, "t": "x" * 40} for i in range(10 * k, 10 * k + 10)]))
+    elements = J.read_elements(spark, [str(tmp_path / "in")], split=100)
+    from pyspark.sql import functions as F
+
+    tasks = elements.groupBy(F.spark_partition_id()).agg(F.count("*")).count()
+    assert 8 <= tasks <= 2 * J.WAVES * 8
+    assert elements.agg(F.count("*"), F.sum(F.get_json_object("content", "$.n").cast("long"))).first()[:] == (2_000, 1_999_000)
