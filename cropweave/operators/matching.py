@@ -39,6 +39,8 @@ from cropweave.session import stage_table
 GRAM_BUCKETS = 8_192
 # Keys of either side that meet in one cell of a common signature.
 CELL_KEYS = 4_096
+# Hash buckets of signatures that are counted before the signatures themselves.
+COUNT_BUCKETS = 1 << 18
 # Texts that may be left of one key of a short pair: at most, at least, and for how many left keys of a block one more.
 VARIANTS, LEAST_VARIANTS, KEYS_A_VARIANT = 1_024, 16, 16
 # The distance of the bounds of two rounds, and from how many left keys of a block on more than one round pays.
@@ -137,6 +139,18 @@ def _largest(keys: DataFrame) -> int:
     return keys.groupBy("scope", "block").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
 
 
+def _frequent(df: DataFrame, group: Sequence[str], least: int) -> DataFrame:
+    """The groups of more than ``least`` rows, with their number ``n``.
+
+    Nearly all signatures are rare, and to count them all a task would hold most of its rows. So rows are counted by hash
+    buckets first, of which no task holds more than ``COUNT_BUCKETS``, and only those of buckets with so many rows by group.
+    """
+    marked = df.withColumn("_bucket", F.pmod(F.xxhash64(*group), F.lit(COUNT_BUCKETS)))
+    full = marked.groupBy("_bucket").agg(F.count("*").alias("n")).where(F.col("n") > least).select("_bucket")
+    return (marked.join(F.broadcast(full), "_bucket", "left_semi")
+            .groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > least))
+
+
 def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: DataFrame | None = None) -> DataFrame:
     """Pairs that meet, once for each signature they share, from two frames of distinct (scope, block, key).
 
@@ -162,7 +176,7 @@ def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: D
     a, b = signed(left, "left_key"), signed(right, "right_key")
     group = ("scope", "block", "signature", "kept")
     # signatures that many keys of one block share, counted within the block; there are few of them, often none
-    sizes = [df.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CELL_KEYS) for df in (a, b)]
+    sizes = [_frequent(df, group, CELL_KEYS) for df in (a, b)]
     crowded = stage_table(sizes[0].unionByName(sizes[1]).groupBy(*group).agg(
         (F.floor(F.max("n") / F.lit(CELL_KEYS)) + 1).cast("int").alias("splits")))
     if not crowded.isEmpty():

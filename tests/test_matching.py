@@ -168,3 +168,19 @@ def test_institutions_of_matches(spark):
                                   "src_pos long, variety_name string, crop_name string, breeding_institution string")
     rows = match_registries(left, right, "2024-01-01 00:00:00").orderBy("csc_raw_id").collect()
     assert [(r.match_status, r.institution_agrees) for r in rows] == [("MATCHED", True), ("UNMATCHED", None)]
+
+
+def test_frequent_signatures_are_counted_by_buckets_first(spark, monkeypatch):
+    rows = [("block", "x", s, k) for s in range(300) for k in (1, -1) for _ in range(s % 7)]
+    rows += [("all", None, 5, 1)] * 9 + [("block", None, 5, 1)] * 9
+    df = spark.createDataFrame(rows, "scope string, block string, signature long, kept int")
+    group = ("scope", "block", "signature", "kept")
+    want = sorted(map(str, df.groupBy(*group).count().where("count > 5").collect()))
+    assert len(want) > 80
+    for buckets in (1, 64, 1 << 18):
+        monkeypatch.setattr(matching, "COUNT_BUCKETS", buckets)
+        found = matching._frequent(df, group, 5)
+        assert sorted(map(str, found.withColumnRenamed("n", "count").collect())) == want
+    # whatever is grouped by signature has passed the filter by buckets
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.count("_bucket") > 3
