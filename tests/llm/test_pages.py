@@ -173,3 +173,42 @@ def test_repeats_of_a_large_host_do_not_depend_on_the_dealing(shared):
     ("<article><p class=related-work>w</p><p class='related-posts'>p</p><p class='form'>f</p><p class='verb-form'>v</p></article>", "w\nv")])
 def test_text_that_names_only_resemble_parts(markup, want):
     assert html.main_texts([markup])[0][0] == want
+
+
+def open_part_pages():
+    """Pages of one host whose articles hold a part that its name leaves open: shared by two articles, or by versions of one."""
+    box = "<div class='share-our-paper'>send this paper to all of your friends and to their families</div>"
+    own = "<div class='related-work'>earlier work on the subject was done by many people long before us</div>"
+    quoted = "<p>the same sentence stands in the articles of several pages and is text in all of them</p>"
+    return [page(f"<article><h1>first</h1>{quoted}{box}</article>"), page(f"<article><h1>second</h1>{quoted}{box}</article>"),
+            page(f"<article><h1>third</h1>{own}</article>", "Other menu"),
+            page(f"<article><h1>third</h1>{own}<p>revised</p></article>" + own)]
+
+
+def test_repetition_decides_what_names_leave_open_in_an_article():
+    quoted = "the same sentence stands in the articles of several pages and is text in all of them"
+    own = "earlier work on the subject was done by many people long before us"
+    got = [t for t, _ in html.main_texts(open_part_pages())]
+    assert got == [f"first\n{quoted}", f"second\n{quoted}", f"third\n{own}", f"third\n{own}\nrevised"]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_the_query_sorts_suffixes_and_asks_for_open_parts(shared, parts):
+    pages = open_part_pages()
+    rows = [(i, "http://h/", text) for i, text in enumerate(pages)] + [(9, "http://alone/", pages[0])]
+    want = dict(enumerate(html.main_texts(pages))) | {9: html.main_texts(pages[:1])[0]}
+    got = html.extract(pages_frame(shared, rows).repartition(parts, "page_id")).collect()
+    assert {r.page_id: (r.text, r.n_left_out) for r in got} == want and len(got) == len(rows)
+    assert "friends" in want[9][0] and "friends" not in want[0][0]
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=14), max_size=6), st.sampled_from([1, 2, 4, 8]))
+def test_suffix_arrays_of_slices(streams, run):
+    tokens = np.array([t for s in streams for t in s], np.uint64)
+    ends = np.cumsum([len(s) for s in streams])
+    whole = np.array([i + run <= ends[np.searchsorted(ends, i, "right")] for i in range(len(tokens))], bool)
+    order, heads = html.suffix_array(tokens, whole, run)
+    begin = [tuple(tokens[i:i + run].tolist()) for i in order.tolist()]
+    assert sorted(order.tolist()) == np.flatnonzero(whole).tolist() and begin == sorted(begin)
+    assert heads.tolist() == [i for i in range(len(begin)) if i == 0 or begin[i] != begin[i - 1]]
