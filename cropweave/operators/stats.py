@@ -15,6 +15,8 @@ from cropweave.session import stage_table
 
 
 PROFILE_COLUMNS = 4
+#: Rows of a task that counts distinct values.
+TASK_ROWS = 1 << 17
 QUARTILES = (0.25, 0.5, 0.75)
 _BASICS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
@@ -76,16 +78,21 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, missing count and percent, distinct values and a nested flag per column.
 
     Exact distinct counts multiply a row by the columns they are taken of, so few columns share an aggregate; each one
-    reads only its own. Hand in a stored table.
+    reads only its own. A task holds every value it meets, so the rows, which are counted first, are dealt to as many tasks
+    as ``TASK_ROWS`` asks for, and SHA-256 digests stand for nested values. Hand in a stored table.
     """
     nested = {f.name: isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) for f in df.schema.fields}
-    value = lambda c: F.to_json(F.col(f"`{c}`")) if nested[c] else F.col(f"`{c}`")
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    text = lambda c: F.to_json(F.col(f"`{c}`")) if nested[c] else F.col(f"`{c}`")
+    digest = lambda c: F.unhex(F.sha2(text(c), 256)) if nested[c] else text(c)
+    distinct, value = (F.approx_count_distinct, text) if approximate else (F.count_distinct, digest)
+    tasks = 1 if approximate else -(-df.count() // TASK_ROWS)
 
     def profiled(columns: Sequence[str]) -> DataFrame:
-        row = df.agg(F.count("*").alias("_n"),
-                     *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|m") for c in columns],
-                     *[distinct(value(c)).alias(f"{c}|u") for c in columns])
+        values = df.select(*[value(c).alias(c) for c in columns])
+        dealt = values.repartition(tasks) if tasks > 1 else values
+        row = dealt.agg(F.count("*").alias("_n"),
+                        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c}|m") for c in columns],
+                        *[distinct(F.col(f"`{c}`")).alias(f"{c}|u") for c in columns])
         return _long(row, [(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
                             F.col(f"`{c}|m`").alias("missing_values"),
                             F.try_divide(F.col(f"`{c}|m`") * 100.0, F.col("_n")).alias("missing_percent"),

@@ -157,6 +157,19 @@ def test_profile(spark):
     assert {r.column_name: r.unique_values for r in stats.unique_counts(df, ["i", "s"], approximate=True).collect()} == {"i": 3, "s": 1}
 
 
+def test_profile_holds_a_bounded_number_of_rows_a_task(spark, monkeypatch):
+    monkeypatch.setattr(stats, "TASK_ROWS", 100)
+    df = spark.range(1000).coalesce(1).selectExpr(
+        "id", "if(id % 4 = 0, null, named_struct('a', id % 7, 'b', 'x')) AS s", "id % 3 AS f", "id % 2 = 0 AS g", "'one' AS o")
+    profile = stats.column_profile(df)
+    plan = profile._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning(10)" in plan and "sha2(" in plan
+    got = {r.column_name: (r.missing_values, r.unique_values) for r in profile.collect()}
+    assert got == {"id": (0, 1000), "s": (250, 7), "f": (0, 3), "g": (0, 2), "o": (0, 1)}
+    monkeypatch.setattr(stats, "TASK_ROWS", 1000)
+    assert "RoundRobin" not in stats.column_profile(df)._jdf.queryExecution().toString()
+
+
 def test_cap_per_group(spark):
     df = spark.createDataFrame([(i, "hot" if i % 3 else "cold") for i in range(90)], "i int, g string")
     wide = spark.range(20_000).selectExpr("id % 2 AS g", "id AS i")
