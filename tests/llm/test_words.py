@@ -77,3 +77,14 @@ def test_tokens_after_the_memory_is_full(monkeypatch):
     for text in ("one two three four five", "one six", "seven eight one two"):
         for piece in W.slices(pa.array([text])):
             assert [x.tolist() for x in worker.encode(piece)] == [plain.encode(text).ids]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_new_pieces_go_to_the_model_alone(name):
+    spec = open(public_tokenizers.path(name), encoding="utf-8").read()
+    plain = Tokenizer.from_str(spec)
+    worker = tokens.Encoder(spec)
+    texts = ["It's 2024:\n\n  naïve Ċ ĉ Ġ words,\tthey'll  cost 30% more </w> \n", "ÀÉÎ über — straße … \r\n end ", "\n", " \n a"]
+    for piece in W.slices(pa.array(texts)):
+        assert [x.tolist() for x in worker.encode(piece)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "tokenizer" not in vars(worker)
