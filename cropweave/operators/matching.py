@@ -15,7 +15,8 @@ has none, and keeps the best one at or above the threshold. The plan never pairs
    and two keys that share that many share one among the first (pairs - that + 1) of any common order. Native
    ``levenshtein`` with a per-pair limit drops most of these candidates;
 6. a signature that very many keys of one block share is split into a grid of cells, left keys by row and right keys
-   by column, so no task gets all its pairs;
+   by column, so no task gets all its pairs. Each side has as many parts as its own keys fill, so a key is written once
+   for each part of the other side: once where few left keys meet many right ones;
 7. the exact score decides, and an aggregate keeps the best right row per left key.
 
 Steps 4 and 5 are lossless: every pair at or above the bound reaches the exact score.
@@ -34,13 +35,15 @@ from cropweave.functions.labels import match_confidence, needs_review, review_pr
 from cropweave.functions.similarity import indel_score, tokens_agree
 from cropweave.functions.text import compare_key
 from cropweave.operators.counts import first_per_group
-from cropweave.session import stage_table
+from cropweave.session import collected_stages, remove_stages, stage_table
 
 GRAM_BUCKETS = 8_192
 # Keys of either side that meet in one cell of a common signature.
 CELL_KEYS = 4_096
 # Hash buckets of signatures that are counted before the signatures themselves.
 COUNT_BUCKETS = 1 << 18
+# Hash buckets of the left signatures, by which right ones without a partner leave before they are stored.
+PARTNER_BUCKETS = 1 << 20
 # Texts that may be left of one key of a short pair: at most, at least, and for how many left keys of a block one more.
 VARIANTS, LEAST_VARIANTS, KEYS_A_VARIANT = 1_024, 16, 16
 # The distance of the bounds of two rounds, and from how many left keys of a block on more than one round pays.
@@ -151,6 +154,34 @@ def _frequent(df: DataFrame, group: Sequence[str], least: int) -> DataFrame:
             .groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > least))
 
 
+def _crowded(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Signatures that many keys of one block share, counted within the block, with the number of parts of either side.
+
+    There are few of them, often none.
+    """
+    parts = []
+    for df, own, other in ((left, "left_split", "right_split"), (right, "right_split", "left_split")):
+        splits = (F.floor(F.col("n") / F.lit(CELL_KEYS)) + 1).cast("int")
+        parts.append(_frequent(df, group, CELL_KEYS).select(*group, splits.alias(own), F.lit(1).alias(other)))
+    return stage_table(parts[0].unionByName(parts[1]).groupBy(*group).agg(
+        F.max("left_split").alias("left_split"), F.max("right_split").alias("right_split")))
+
+
+def _celled(df: DataFrame, crowded: DataFrame, group: Sequence[str], key: str, own: str, other: str) -> DataFrame:
+    """A grid of (left, right) cells for a crowded signature, one cell for the others."""
+    known = df.alias("a").join(crowded.alias("b"), _same(*group), "left")
+    splits = {c: F.coalesce(f"b.{c}", F.lit(1)) for c in (own, other)}
+    return known.select("a.*", F.pmod(F.xxhash64(key), splits[own]).cast("int").alias(own),
+                        F.explode(F.sequence(F.lit(0), splits[other] - 1)).alias(other))
+
+
+def _with_partner(df: DataFrame, others: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The rows whose group falls into a hash bucket of a group of ``others``: all that can meet one, and few more."""
+    bucket = F.pmod(F.xxhash64(*group), F.lit(PARTNER_BUCKETS)).alias("_bucket")
+    wanted = others.select(bucket).distinct()  # at most PARTNER_BUCKETS rows
+    return df.select("*", bucket).join(F.broadcast(wanted), "_bucket", "left_semi").drop("_bucket")
+
+
 def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: DataFrame | None = None) -> DataFrame:
     """Pairs that meet, once for each signature they share, from two frames of distinct (scope, block, key).
 
@@ -171,23 +202,16 @@ def joined_pairs(left: DataFrame, right: DataFrame, threshold: int, frequency: D
         long = own.withColumn("frequency", frequency.scalar()).select(
             "scope", "block", key_name, F.explode(_prefix_signatures(F.col(key_name), F.col("frequency"), t, short)).alias("signature"),
             F.lit(-1).alias("kept"))
-        return stage_table(brief.unionByName(long))
+        return brief.unionByName(long)
 
-    a, b = signed(left, "left_key"), signed(right, "right_key")
     group = ("scope", "block", "signature", "kept")
-    # signatures that many keys of one block share, counted within the block; there are few of them, often none
-    sizes = [_frequent(df, group, CELL_KEYS) for df in (a, b)]
-    crowded = stage_table(sizes[0].unionByName(sizes[1]).groupBy(*group).agg(
-        (F.floor(F.max("n") / F.lit(CELL_KEYS)) + 1).cast("int").alias("splits")))
+    a = stage_table(signed(left, "left_key"))
+    b = stage_table(_with_partner(signed(right, "right_key"), a, group))
+    crowded = _crowded(a, b, group)
     if not crowded.isEmpty():
-        def celled(df: DataFrame, key_name: str, own: str, other: str) -> DataFrame:
-            """A grid of (left, right) cells for a crowded signature, one cell for the others."""
-            known = df.alias("a").join(crowded.alias("b"), _same(*group), "left").select(
-                "a.*", F.coalesce("b.splits", F.lit(1)).alias("splits"))
-            return known.select("*", F.pmod(F.xxhash64(key_name), F.col("splits")).cast("int").alias(own),
-                                F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias(other)).drop("splits")
-
-        a, b = celled(a, "left_key", "left_split", "right_split"), celled(b, "right_key", "right_split", "left_split")
+        # stored, so that its size is known and a small left side spares the shuffle of the right one
+        a = stage_table(_celled(a, crowded, group, "left_key", "left_split", "right_split"))
+        b = _celled(b, crowded, group, "right_key", "right_split", "left_split")
         group = (*group, "left_split", "right_split")
     a, b = a.alias("a"), b.alias("b")
     total = F.length("left_key") + F.length("right_key")
@@ -224,7 +248,10 @@ def best_pairs(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
         t = (bound - 0.5) / 200
         if _uses_pairs(t) not in orders:
             orders[_uses_pairs(t)] = stage_table(_gram_frequency(left.unionByName(right), t))
-        pairs = stage_table(similar_pairs(left, right, bound, orders[_uses_pairs(t)]))
+        with collected_stages() as signed:
+            pairs = similar_pairs(left, right, bound, orders[_uses_pairs(t)])
+        pairs = stage_table(pairs)
+        remove_stages(signed)  # the signatures of this round are not read again
         found.append(pairs)
         if bound > threshold:
             done = pairs.select("scope", "block", F.col("left_key").alias("key")).distinct()

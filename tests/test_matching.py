@@ -184,3 +184,32 @@ def test_frequent_signatures_are_counted_by_buckets_first(spark, monkeypatch):
     # whatever is grouped by signature has passed the filter by buckets
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and plan.count("_bucket") > 3
+
+
+def test_few_left_keys_do_not_multiply_a_crowded_right_side(spark, monkeypatch):
+    """A right key is written once for each part of the left side, and every pair still meets in one cell."""
+    monkeypatch.setattr(matching, "CELL_KEYS", 5)
+    group = ("scope", "block", "signature", "kept")
+    side = lambda key, n: spark.createDataFrame(
+        [("block", block, 7, -1, f"{key}{i}") for block in ("x", None) for i in range(n)], f"scope string, block string, signature long, kept int, {key}_key string")
+    for lefts, rights in ((2, 100), (12, 100), (100, 3)):
+        a, b = side("left", lefts), side("right", rights)
+        crowded = matching._crowded(a, b, group)
+        left = matching._celled(a, crowded, group, "left_key", "left_split", "right_split")
+        right = matching._celled(b, crowded, group, "right_key", "right_split", "left_split")
+        assert right.count() == 2 * rights * (lefts // 5 + 1) and left.count() == 2 * lefts * (rights // 5 + 1)
+        met = left.alias("a").join(right.alias("b"), matching._same(*group, "left_split", "right_split"))
+        assert met.count() == met.select("a.block", "left_key", "right_key").distinct().count() == 2 * lefts * rights
+
+
+def test_right_signatures_without_a_partner_are_not_stored(spark, monkeypatch):
+    left = [(i, f"ab{'cd' * i}e", "x") for i in range(1, 4)]
+    right = [(i, "".join(chr(ord("k") + int(d)) for d in str(i * 7919)), "x") for i in range(400)] + [(900, "abcdcde", "x")]
+    stored = []
+    stage = matching.stage_table
+    monkeypatch.setattr(matching, "stage_table", lambda df: stored.append(stage(df)) or stored[-1])
+    keys = [spark.createDataFrame([("block", c, n) for _, n, c in rows], "scope string, block string, key string")
+            for rows in (left, right)]
+    assert {(r.left_key, r.right_key) for r in matching.similar_pairs(*keys, 80).collect()} >= {("abcdcde", "abcdcde")}
+    signed = [df.count() for df in stored if "right_key" in df.columns]
+    assert signed and sum(signed) < 100  # 400 keys have several signatures each
