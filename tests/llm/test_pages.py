@@ -212,3 +212,34 @@ def test_suffix_arrays_of_slices(streams, run):
     begin = [tuple(tokens[i:i + run].tolist()) for i in order.tolist()]
     assert sorted(order.tolist()) == np.flatnonzero(whole).tolist() and begin == sorted(begin)
     assert heads.tolist() == [i for i in range(len(begin)) if i == 0 or begin[i] != begin[i - 1]]
+
+
+def noticed_pages(n=7):
+    """Articles of a host with a notice in most of them, a quote in few, and a text that one article has in many versions."""
+    notice = "<p>Sign up for the weekly letter of this house to read more</p>"
+    quote = "<p>the same sentence stands in the articles of three pages and is text in all of them</p>"
+    body = lambda i: f"<p>{' '.join(f'word{i}x{k}' for k in range(40))}</p>"
+    pages = [page(f"<article><h1>title {i}</h1>{body(i)}{quote if i < 3 else ''}<p>More:</p>{notice if i != 6 else ''}</article>")
+             for i in range(n)]
+    box = "<div class='share-our-paper'>send this paper to all of your friends and to their families</div>"
+    return [*pages, page(f"<article><h1>title 1</h1>{body(1)}{notice}{box}</article>"), page(f"<p>outside {notice}</p>")]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repetition_decides_on_blocks_of_articles(shared, parts):
+    pages = noticed_pages()
+    copies = [page(f"<article><h1>version {i}</h1><p>{' '.join(f'same{k}' for k in range(30))}</p></article>") for i in range(4)]
+    hosts = {"h": pages, "copies": copies, "two": pages[:2], "few": [pages[0], pages[1], *(page(
+        f"<article><h1>other {i}</h1><p>{' '.join(f'o{i}y{k}' for k in range(20))}</p></article>") for i in range(5))]}
+    rows, want = [], {}
+    for host, own in hosts.items():
+        for text, (main, out) in zip(own, html.main_texts(own)):
+            want[len(rows)] = (main, out)
+            rows.append((len(rows), f"http://{host}/", text))
+    got = html.extract(pages_frame(shared, rows * 2).repartition(parts, "page_id")).collect()
+    assert {r.page_id: (r.text, r.n_left_out) for r in got} == want and len(got) == 2 * len(rows)
+    assert not any("Sign up" in want[i][0] or "More:" in want[i][0] for i in (0, 1, 2, 3, 4, 5, 7)) and "friends" in want[7][0]
+    assert all("the same sentence" in want[i][0] for i in range(3)) and "More:" in want[6][0]
+    at = len(pages)
+    assert all("same29" in want[at + i][0] for i in range(4))  # versions of one text stay whole
+    assert all("Sign up" in want[at + 4 + i][0] for i in range(4))  # in two articles, of two and of seven
