@@ -402,6 +402,52 @@ def test_packing_prefers_neighbours(shared):
     assert together[True] > 3 * together[False]
 
 
+def brute_neighbours(pieces, keys):
+    """The score of the best other piece for all distinct terms of each one, by BM25 over all pieces."""
+    n, mean = len(pieces), sum(map(len, pieces)) / len(pieces)
+    df = Counter(t for p in pieces for t in set(p))
+    idf = {t: np.log1p((n - f + 0.5) / (f + 0.5)) for t, f in df.items()}
+
+    def score(asking, other):
+        tf = Counter(other)
+        return sum(idf[t] * tf[t] * (packing.K1 + 1) / (tf[t] + packing.K1 * (1 - packing.B + packing.B * len(other) / mean))
+                   for t in set(asking) if tf[t])
+
+    return {k: {j: score(p, q) for j, q in zip(keys, pieces) if j != k} for k, p in zip(keys, pieces)}
+
+
+@pytest.mark.parametrize("block, dense", [(4096, 768), (7, 5), (16, 0)])
+def test_every_piece_asks_all_pieces_with_all_terms(shared, block, dense):
+    rng = np.random.default_rng(block)
+    pieces = [rng.zipf(1.5, rng.integers(1, 60)) % 300 for _ in range(60)]
+    df = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=300).astype(float)
+    column = np.full(300, -1, np.int32)
+    column[np.argsort(-df)[:dense]] = np.arange(min(dense, 300))
+    mean = sum(map(len, pieces)) / len(pieces)
+    stats = shared.sparkContext.broadcast((np.log1p((60 - df + 0.5) / (df + 0.5)), mean, column))
+    rows = [(i * 7 - 100, bytearray(packing._shorten(p.astype("<u4")))) for i, p in enumerate(pieces)]
+    frame = shared.createDataFrame(rows, "key long, piece binary").repartition(3)
+    got = {r.a: r.b for r in packing.best_neighbours(frame, 60, stats, block).collect()}
+    want = brute_neighbours([p.tolist() for p in pieces], [k for k, _ in rows])
+    assert set(got) == {k for k, all_of in want.items() if max(all_of.values()) > 0}
+    assert all(np.isclose(want[k][b], max(want[k].values()), rtol=1e-4) for k, b in got.items())
+
+
+def test_packing_finds_neighbours_beyond_a_block(shared):
+    """Pairs of related documents lie in blocks and partitions of few pieces; before, a hash dealt them apart."""
+    rng = np.random.default_rng(1)
+    words = [f" {a}{b}{c}" for a in ("quartz", "violin", "harbor", "tundra", "candle") for b in "abcdef" for c in "xyz"]
+    topics = [list(rng.choice(words, 12, False)) for _ in range(40)]
+    rows = [(i, "".join(rng.permutation(topics[i % 40] * 2))) for i in range(80)]
+    pieces = packing.pack(shared.createDataFrame(rows, "doc_id long, text string"), window=256, block_pieces=8,
+                          partition_tokens=1000).collect()
+    sequences = {}
+    for r in pieces:
+        sequences.setdefault(r.sequence_id, set()).add(r.doc_id)
+    met = sum(any({i, i + 40} <= s for s in sequences.values()) for i in range(40))
+    assert met >= 30
+
+
 def test_wavelet_round_trip(shared, documents, no_documents):
     ids_of = encoded(wavelet.TOKENIZER, 1)
     catalogue = wavelet.write_shards(documents, storage.new_folder(shared, "tokens"), shard_tokens=3000)
